@@ -12,7 +12,7 @@ Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("sales",)
+MODULES = ("sales", "tables", "profile", "series")
 
 
 def query(sql: str | None = None) -> Callable[[Runner], Runner]:
