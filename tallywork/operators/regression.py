@@ -11,7 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import double
 from ..functions.tails import student_p
@@ -105,7 +105,12 @@ def dummy_columns(column: str, levels: Sequence[str], prefix: str) -> dict[str,
     }
 
 
-_SOLVED = "struct<coef: array<double>, stderr: array<double>, r2: double>"
+_SOLVED = (
+    T.StructType()
+    .add("coef", T.ArrayType(T.DoubleType()))
+    .add("stderr", T.ArrayType(T.DoubleType()))
+    .add("r2", T.DoubleType())
+)
 
 
 @F.pandas_udf(_SOLVED)

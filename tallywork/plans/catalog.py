@@ -12,7 +12,7 @@ Runner = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Runner] = {}
 ORACLES: dict[str, str] = {}
 
-MODULES = ("sales", "tables", "profile", "series")
+MODULES = ("sales", "tables", "profile", "series", "stats", "streams")
 
 
 def query(sql: str | None = None) -> Callable[[Runner], Runner]:
@@ -35,7 +35,7 @@ def load() -> tuple[dict[str, Runner], dict[str, str]]:
     return dict(QUERIES), dict(ORACLES)
 
 
-def tidy(df: DataFrame, digits: int = 6, **places: int) -> DataFrame:
+def tidy(df: DataFrame, digits: int = 6, /, **places: int) -> DataFrame:
     """Plain result types: bigint, double, text. Doubles are rounded, exact money is not."""
     out = []
     for f in df.schema.fields:

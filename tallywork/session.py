@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "tallywork", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,6 +42,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a base that several results start from, and read it back.
+
+    The table sits in the shared folder, so it outlives any executor and is computed once.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def range_count(spark: SparkSession) -> int:
     """How many value ranges to split an ordered computation into.
 

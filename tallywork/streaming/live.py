@@ -23,10 +23,11 @@ FILES_PER_BATCH = 1_000
 
 def event_stream(spark: SparkSession, folder: str, late: str | None = None) -> DataFrame:
     """The event table as a stream with event time ``at``; ``late`` is the watermark delay."""
+    # the bracket makes the path a pattern, which fits one file as well as a folder of files
     raw = (
         spark.readStream.schema(read_parquet(spark, folder, "events").schema)
         .option("maxFilesPerTrigger", FILES_PER_BATCH)
-        .parquet(f"{folder.rstrip('/')}/events.parquet")
+        .parquet(f"{folder.rstrip('/')}/events.parque[t]")
     )
     stream = shape_events(raw).withColumn("at", F.col("ts").cast("timestamp"))
     return stream.withWatermark("at", late) if late else stream
