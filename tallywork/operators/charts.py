@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import double, equal_width_bin
+from .ordered import value_groups
 from .outliers import fences
 from .profile import with_scalars
 
@@ -35,10 +36,7 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Quartiles, whisker ends (last datum inside the fences) and outlier count per group."""
-    counts = df.where(F.col(value).isNotNull())
-    for c in by:
-        counts = counts.where(F.col(c).isNotNull())
-    counts = counts.groupBy(*by, value).agg(F.count("*").alias("n"))
+    counts = value_groups(df, value, by)
     lines = fences(df, value, by).drop("n").withColumnRenamed("q1", "_q1").withColumnRenamed("q3", "_q3")
     x = double(value)
     inside = (x >= F.col("lower")) & (x <= F.col("upper"))

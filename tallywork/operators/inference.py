@@ -224,7 +224,7 @@ def chunk_means(df: DataFrame, order: Sequence[str], value: str, size: int) -> D
 
     Only full chunks enter. The row position is computed range by range, never in one task.
     """
-    numbered = running(with_ranges(df.select(*order, value), order[0]), [], order, "bucket")
+    numbered = running(with_ranges(df.select(*order, value), order), [], order, "bucket")
     means = (
         numbered.groupBy(F.floor((F.col("position") - 1) / size).alias("chunk"))
         .agg(F.count(value).alias("k"), F.avg(value).alias("m"))

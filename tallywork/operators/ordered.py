@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.columns import double
 from ..session import range_count
@@ -29,6 +29,23 @@ def value_range(value: Column | str, bounds: Column, ranges: int) -> Column:
     return F.coalesce(found, F.lit(0))
 
 
+def sketch(column: str, ranges: int) -> Column:
+    """Bounds that cut a column into about equally filled ranges."""
+    return F.percentile_approx(column, [i / ranges for i in range(1, ranges)], max(1_000, 4 * ranges))
+
+
+def value_groups(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct values with their count, without NULL values and NULL keys.
+
+    Equal values collapse before the shuffle, so a value held by a third of all rows is one row.
+    Operators that start from this frame in one query share its shuffle.
+    """
+    clean = df.select(*by, F.col(value))
+    for c in [*by, value]:
+        clean = clean.where(F.col(c).isNotNull())
+    return clean.groupBy(*by, value).agg(F.count("*").alias("n"))
+
+
 def value_ladder(
     df: DataFrame,
     value: str,
@@ -37,22 +54,16 @@ def value_ladder(
 ) -> DataFrame:
     """Distinct values with their count and the exact count and sum below them.
 
-    Returns ``by..., value, n, n_below, sum_below, n_total, sum_total``. Equal values
-    collapse before the shuffle, so a value held by a third of all rows is one row.
-    ``wanted`` maps the group size to an array of zero-based ranks: only ranges that
-    hold one of them are then ordered. Groups with a NULL key and NULL values are left out.
+    Returns ``by..., value, n, n_below, sum_below, n_total, sum_total``.
+    ``wanted`` maps the group size to an array of zero-based ranks: only ranges that hold one of
+    them are then ordered.
     """
     by = list(by)
     ranges = range_count(df.sparkSession)
-    clean = df.select(*by, F.col(value))
-    for c in [*by, value]:
-        clean = clean.where(F.col(c).isNotNull())
-    counts = clean.groupBy(*by, value).agg(F.count("*").alias("n"))
+    counts = value_groups(df, value, by)
     cuts = counts.agg(
         F.struct(
-            F.percentile_approx(
-                value, [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges)
-            ).alias("bounds"),
+            sketch(value, ranges).alias("bounds"),
             F.sum("n").alias("rows"),  # keeps the input equal to ``counts``, so its shuffle is shared
         )
     ).scalar()
@@ -148,22 +159,26 @@ def head_rows(n: Column, fraction: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(n * fraction)).cast("bigint")
 
 
-def with_ranges(df: DataFrame, order: str, out: str = "bucket") -> DataFrame:
-    """Add an evenly filled range number that rises with ``order`` (NULL sorts first).
+def with_ranges(df: DataFrame, order: Sequence[str], out: str = "bucket") -> DataFrame:
+    """Add an evenly filled range number that rises with the order columns (NULL sorts first).
 
-    The bounds come from one sketch over the column and are the same however often the plan runs.
+    A value of the first column that fills whole ranges by itself is cut further by the second
+    column, if there is one. The bounds come from one sketch pass and are the same however often
+    the plan runs.
     """
+    first, *rest = order
     ranges = range_count(df.sparkSession)
-    cuts = df.agg(
-        F.percentile_approx(
-            order, [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges)
-        ).alias("bounds")
-    ).scalar()
-    return (
-        df.withColumn("_cuts", cuts)
-        .withColumn(out, value_range(order, F.col("_cuts"), ranges))
-        .drop("_cuts")
-    )
+    cuts = df.agg(F.struct(*[sketch(c, ranges).alias(f"b{i}") for i, c in enumerate(order[:2])])).scalar()
+    marked = df.withColumn("_cuts", cuts)
+    bounds = F.col("_cuts.b0")
+    major = value_range(first, bounds, ranges)
+    number = F.col("_major") * 2 * ranges
+    if rest:
+        fills = (F.get(bounds, F.col("_major")) == F.col(first)) & (
+            F.get(bounds, F.col("_major") + 1) == F.col(first)
+        )
+        number = number + F.when(fills, ranges + value_range(rest[0], F.col("_cuts.b1"), ranges)).otherwise(0)
+    return marked.withColumn("_major", major).withColumn(out, F.coalesce(number, F.lit(0))).drop("_cuts", "_major")
 
 
 def running(
@@ -287,23 +302,25 @@ def trailing(
     by: Sequence[str],
     position: str,
     rows: int,
-    outputs: Mapping[str, Callable[[Window], Column]],
+    outputs: Mapping[str, Callable[[WindowSpec], Column]],
+    block_rows: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Window aggregates over the last ``rows`` rows of a group numbered by ``position``.
+    """Window results that look back at most ``rows - 1`` rows, for groups numbered by ``position``.
 
     A group is cut into blocks of rows; the tail of each block is also sent to the next block,
-    so every row finds its whole frame there. ``outputs`` maps a name to a function of the window.
+    so every row finds what it looks back at. ``outputs`` maps a name to a function of the ordered
+    window, which sets its own frame.
     """
-    size = max(ROWS_PER_BLOCK, rows)
+    size = max(block_rows, rows)
     index = F.col(position) - 1
     home = F.floor(index / size)
     in_tail = index % size >= size - (rows - 1)
     copies = df.withColumn("_home", home).withColumn(
         "_block", F.explode(F.when(in_tail, F.array(home, home + 1)).otherwise(F.array(home)))
     )
-    frame = Window.partitionBy(*by, "_block").orderBy(position).rowsBetween(-(rows - 1), 0)
+    window = Window.partitionBy(*by, "_block").orderBy(position)
     return (
-        copies.select("*", *[fn(frame).alias(name) for name, fn in outputs.items()])
+        copies.select("*", *[fn(window).alias(name) for name, fn in outputs.items()])
         .where(F.col("_home") == F.col("_block"))
         .drop("_home", "_block")
     )

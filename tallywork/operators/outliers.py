@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import double, ratio
-from .ordered import quantiles
+from .ordered import quantiles, value_groups
 from .profile import with_scalars
 from .tables import with_group_stats
 
@@ -32,14 +32,15 @@ def fence_outliers(df: DataFrame, value: str) -> DataFrame:
 
 def fence_summary(df: DataFrame, value: str) -> DataFrame:
     """Fences with how many rows lie above and below, their share, and the largest value."""
-    x = double(value)
-    marked = with_scalars(df.select(value), fences(df, value).drop("n"))
-    names = ["q1", "q3", "lower", "upper"]
+    x, n = double(value), F.col("n")
+    counts = value_groups(df, value)
+    marked = with_scalars(counts, fences(df, value).drop("n"))
+    rows_where = lambda cond: F.sum(F.when(cond, n).otherwise(F.lit(0)))
     return marked.agg(
-        *[F.max(c).alias(c) for c in names],
-        F.count(x).alias("n"),
-        F.count_if(x > F.col("upper")).alias("n_high"),
-        F.count_if(x < F.col("lower")).alias("n_low"),
+        *[F.max(c).alias(c) for c in ("q1", "q3", "lower", "upper")],
+        F.sum(n).alias("n"),
+        rows_where(x > F.col("upper")).alias("n_high"),
+        rows_where(x < F.col("lower")).alias("n_low"),
         F.max(x).alias("largest"),
     ).withColumn("high_share", ratio("n_high", "n"))
 

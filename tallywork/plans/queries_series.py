@@ -31,17 +31,16 @@ SELECT event_id, machine_id, rn AS position, round(avg(reading) OVER (PARTITION
   round(reading - lag(reading) OVER (PARTITION BY machine_id ORDER BY rn), 6) AS step FROM p""")
 def rolling_rows(spark, sf):
     """Moving mean over raw readings, cut into blocks so that no machine fills one task."""
-    r = ordered.with_ranges(readings(events(spark, sf)), "ts")
+    r = ordered.with_ranges(readings(events(spark, sf)), ["ts", "event_id"])
     numbered = ordered.running(r, ["machine_id"], ["ts", "event_id"], "bucket")
-    means = ordered.trailing(
-        numbered, ["machine_id"], "position", 24, {"mean_24": lambda w: F.avg("reading").over(w)}
+    seen = ordered.trailing(
+        numbered, ["machine_id"], "position", 24,
+        {
+            "mean_24": lambda w: F.avg("reading").over(w.rowsBetween(-23, 0)),
+            "step": lambda w: F.col("reading") - F.lag("reading").over(w),
+        },
     )
-    both = ordered.trailing(
-        means, ["machine_id"], "position", 2,
-        {"_previous": lambda w: F.first("reading").over(w)},
-    )
-    step = F.when(F.col("position") > 1, F.col("reading") - F.col("_previous"))
-    return tidy(both.select("event_id", "machine_id", "position", "mean_24", step.alias("step")))
+    return tidy(seen.select("event_id", "machine_id", "position", "mean_24", "step"))
 
 
 @query(f"""WITH {EVENTS}, p AS (SELECT machine_id, event_id, reading, row_number() OVER w AS rn FROM ev
@@ -55,7 +54,7 @@ def rolling_rows(spark, sf):
 SELECT event_id, machine_id, rn AS position, reading, round(CASE WHEN reading IS NOT NULL THEN reading WHEN nv IS NULL THEN pv
   ELSE pv + (nv - pv) * (CAST(rn - pp AS DOUBLE) / (np - pp)) END, 6) AS filled FROM n""")
 def interpolate_gaps(spark, sf):
-    r = ordered.with_ranges(readings(events(spark, sf)), "ts")
+    r = ordered.with_ranges(readings(events(spark, sf)), ["ts", "event_id"])
     filled = ordered.interpolate(r, ["machine_id"], ["ts", "event_id"], "bucket", "reading", "filled")
     return tidy(filled.select("event_id", "machine_id", "position", "reading", "filled"))
 
@@ -63,7 +62,7 @@ def interpolate_gaps(spark, sf):
 @query(f"""WITH {EVENTS} SELECT event_id, machine_id, last_value(reading IGNORE NULLS) OVER (PARTITION BY machine_id
   ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM ev""")
 def forward_filled(spark, sf):
-    r = ordered.with_ranges(readings(events(spark, sf)), "ts")
+    r = ordered.with_ranges(readings(events(spark, sf)), ["ts", "event_id"])
     filled = ordered.forward_fill(r, ["machine_id"], ["ts", "event_id"], "bucket", "reading", "filled")
     return filled.select("event_id", "machine_id", "filled")
 
@@ -72,7 +71,7 @@ def forward_filled(spark, sf):
   ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_value FROM ev""")
 def running_value(spark, sf):
     """Running total over raw rows per user."""
-    ev = ordered.with_ranges(events(spark, sf).withColumn("money", F.col("value").cast("decimal(15,2)")), "ts")
+    ev = ordered.with_ranges(events(spark, sf).withColumn("money", F.col("value").cast("decimal(15,2)")), ["ts", "event_id"])
     out = ordered.running(ev, ["user_id"], ["ts", "event_id"], "bucket", {"running_value": "money"})
     return tidy(out.select("event_id", "user_id", "running_value"))
 

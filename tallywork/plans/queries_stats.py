@@ -344,10 +344,10 @@ def ols_dummies(spark, sf):
 
 @query(f"""WITH {AMOUNTS}, v AS (SELECT CAST(amount AS DOUBLE) AS x FROM oa), e AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
   h AS (SELECT least(floor((x - lo) / ((hi - lo) / 40))::BIGINT + 1, 40) AS bin, count(*) AS n FROM v, e GROUP BY 1)
-SELECT b AS bin, round(lo + (b - 1) * (hi - lo) / 40, 4) AS left_edge, round(lo + b * (hi - lo) / 40, 4) AS right_edge, coalesce(n, 0) AS n
+SELECT b AS bin, round(lo + (b - 1) * (hi - lo) / 40, 6) AS left_edge, round(lo + b * (hi - lo) / 40, 6) AS right_edge, coalesce(n, 0) AS n
 FROM range(1, 41) r(b) LEFT JOIN h ON bin = b, e""")
 def hist_bins(spark, sf):
-    return tidy(charts.histogram(sales.order_amounts(from_star(spark, sf)), "amount", 40), 4)
+    return tidy(charts.histogram(sales.order_amounts(from_star(spark, sf)), "amount", 40))
 
 
 @query(f"""WITH {LINES}, v AS (SELECT p.p_type AS category, order_id, CAST(sum(amount) AS DOUBLE) AS x FROM lines JOIN part p ON p.p_partkey = product_id GROUP BY 1, 2),

@@ -252,7 +252,7 @@ def new_vs_repeat(shop: Shop) -> DataFrame:
 
 def order_ordinals(shop: Shop) -> DataFrame:
     """Each completed order with how many the buyer placed before it."""
-    orders = with_ranges(order_amounts(shop), "order_date")
+    orders = with_ranges(order_amounts(shop), ["order_date", "order_id"])
     numbered = running(orders, ["customer_id"], ["order_date", "order_id"], "bucket")
     return numbered.select(
         "order_id", "customer_id", "order_date", "amount", (F.col("position") - 1).alias("nth")

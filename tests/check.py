@@ -65,12 +65,13 @@ def main():
     from __spark_entry__ import oracle_sql, queries
     from tallywork.session import get_session
 
-    args = sys.argv[1:]
+    conf = dict(a.split("=", 1) for a in sys.argv[1:] if "=" in a)
+    args = [a for a in sys.argv[1:] if "=" not in a]
     folder = args[0] if args else "/root/testdata/sf0.01"
     qs, sqls = queries(), oracle_sql()
     names = args[1:] or list(qs)
     spark = get_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", **conf}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(folder)
