@@ -8,6 +8,7 @@ work inside the ranges in parallel, and carry a small per-range summary across.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -17,16 +18,19 @@ from ..session import range_count
 ROWS_PER_BLOCK = 100_000
 
 
-def value_range(value: Column | str, bounds: Column, ranges: int) -> Column:
-    """Number of range bounds below ``value``, by bisection over the sorted bounds."""
-    x = F.col(value) if isinstance(value, str) else value
-    strides = F.array(*[F.lit(1 << k) for k in reversed(range(ranges.bit_length() - 1))])
-    found = F.aggregate(
-        strides,
-        F.lit(0),
-        lambda low, stride: F.when(F.get(bounds, low + stride - 1) < x, low + stride).otherwise(low),
-    )
-    return F.coalesce(found, F.lit(0))
+def with_value_range(df: DataFrame, value: str, bounds: str, ranges: int, out: str) -> DataFrame:
+    """Add the number of ``bounds`` (a sorted array column) below ``value``, by bisection.
+
+    One projection per halving, all in generated code. A lambda over the array would be shorter,
+    but joins on a key made by a lambda can pick up a wrong filter from constraint inference.
+    """
+    found = df.withColumn(out, F.lit(0))
+    stride = ranges // 2
+    while stride:
+        above = F.get(F.col(bounds), F.col(out) + (stride - 1)) < F.col(value)
+        found = found.withColumn(out, F.col(out) + F.when(above, stride).otherwise(0))
+        stride //= 2
+    return found
 
 
 def sketch(column: str, ranges: int) -> Column:
@@ -50,13 +54,13 @@ def value_ladder(
     df: DataFrame,
     value: str,
     by: Sequence[str] = (),
-    wanted: Callable[[Column], Column] | None = None,
+    wanted: Callable[[Column], Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Distinct values with their count and the exact count and sum below them.
 
     Returns ``by..., value, n, n_below, sum_below, n_total, sum_total``.
-    ``wanted`` maps the group size to an array of zero-based ranks: only ranges that hold one of
-    them are then ordered.
+    ``wanted`` maps the group size to zero-based ranks: only ranges that hold one of them are then
+    ordered.
     """
     by = list(by)
     ranges = range_count(df.sparkSession)
@@ -67,11 +71,8 @@ def value_ladder(
             F.sum("n").alias("rows"),  # keeps the input equal to ``counts``, so its shuffle is shared
         )
     ).scalar()
-    ranged = (
-        counts.withColumn("_cuts", cuts)
-        .withColumn("_range", value_range(value, F.col("_cuts.bounds"), ranges))
-        .drop("_cuts")
-    )
+    bounded = counts.withColumn("_bounds", cuts["bounds"])
+    ranged = with_value_range(bounded, value, "_bounds", ranges, "_range").drop("_bounds")
     group = [F.col(c) for c in by] or [F.lit(0)]
     below = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
@@ -84,12 +85,11 @@ def value_ladder(
         .withColumn("sum_total", F.sum("_sum").over(whole))
     )
     if wanted is not None:
-        per_range = per_range.where(
-            F.exists(
-                wanted(F.col("n_total")),
-                lambda r: (r >= F.col("_n_before")) & (r < F.col("_n_before") + F.col("_n")),
-            )
-        )
+        here = [
+            (r >= F.col("_n_before")) & (r < F.col("_n_before") + F.col("_n"))
+            for r in wanted(F.col("n_total"))
+        ]
+        per_range = per_range.where(reduce(Column.__or__, here))
     inside = (
         Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -115,8 +115,8 @@ def quantiles(
     def position(p: float, n: Column) -> Column:
         return F.lit(float(p)) * (n - 1)
 
-    def ranks(n: Column) -> Column:
-        return F.array(*[f(position(p, n)).cast("bigint") for p in probs.values() for f in (F.floor, F.ceil)])
+    def ranks(n: Column) -> list[Column]:
+        return [f(position(p, n)) for p in probs.values() for f in (F.floor, F.ceil)]
 
     ladder = value_ladder(df, value, by, ranks)
     at = lambda r: F.max(
@@ -140,7 +140,7 @@ def top_share(df: DataFrame, value: str, fractions: Sequence[float]) -> DataFram
 
     # the first row outside the head, counted from the bottom
     ladder = value_ladder(
-        df, value, wanted=lambda n: F.array(*[n - head_rows(n, F.lit(float(p))) for p in fractions])
+        df, value, wanted=lambda n: [n - head_rows(n, F.lit(float(p))) for p in fractions]
     )
     rows = F.explode(F.array(*[F.lit(float(p)) for p in fractions])).alias("fraction")
     cut = ladder.select("*", rows).withColumn("head_rows", head_rows(F.col("n_total"), F.col("fraction")))
@@ -166,19 +166,17 @@ def with_ranges(df: DataFrame, order: Sequence[str], out: str = "bucket") -> Dat
     column, if there is one. The bounds come from one sketch pass and are the same however often
     the plan runs.
     """
-    first, *rest = order
+    first, *rest = order[:2]
     ranges = range_count(df.sparkSession)
     cuts = df.agg(F.struct(*[sketch(c, ranges).alias(f"b{i}") for i, c in enumerate(order[:2])])).scalar()
-    marked = df.withColumn("_cuts", cuts)
-    bounds = F.col("_cuts.b0")
-    major = value_range(first, bounds, ranges)
-    number = F.col("_major") * 2 * ranges
+    marked = df.withColumn("_cuts", cuts).withColumn("_b0", F.col("_cuts.b0"))
+    marked = with_value_range(marked, first, "_b0", ranges, "_r0")
+    number = F.col("_r0")
     if rest:
-        fills = (F.get(bounds, F.col("_major")) == F.col(first)) & (
-            F.get(bounds, F.col("_major") + 1) == F.col(first)
-        )
-        number = number + F.when(fills, ranges + value_range(rest[0], F.col("_cuts.b1"), ranges)).otherwise(0)
-    return marked.withColumn("_major", major).withColumn(out, F.coalesce(number, F.lit(0))).drop("_cuts", "_major")
+        marked = with_value_range(marked.withColumn("_b1", F.col("_cuts.b1")), rest[0], "_b1", ranges, "_r1")
+        fills = (F.get("_b0", F.col("_r0")) == F.col(first)) & (F.get("_b0", F.col("_r0") + 1) == F.col(first))
+        number = F.col("_r0") * 2 * ranges + F.when(fills, ranges + F.col("_r1")).otherwise(0)
+    return marked.withColumn(out, number).drop("_cuts", "_b0", "_b1", "_r0", "_r1")
 
 
 def running(
@@ -242,14 +240,18 @@ def neighbours(
     numbered = running(df, by, order, bucket)
     group = [F.col(c) for c in by] or [F.lit(0)]
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("position").alias("p"), F.col(value).alias("v")))
-    inside = Window.partitionBy(*group, bucket).orderBy("position")
+    # both directions look back over a growing frame; a frame that ends at the last row of the
+    # partition would be worked out again for every row
+    inside = Window.partitionBy(*group, bucket)
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
     rows = (
         numbered.withColumn("_known", known)
-        .withColumn("_prev", F.last("_known", True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_next", F.first("_known", True).over(inside.rowsBetween(0, Window.unboundedFollowing)))
+        .withColumn("_prev", F.last("_known", True).over(so_far(inside.orderBy("position"))))
+        .withColumn("_next", F.last("_known", True).over(so_far(inside.orderBy(F.desc("position")))))
         .drop("_known")
     )
-    across = Window.partitionBy(*group).orderBy(bucket)
+    across = Window.partitionBy(*group)
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         numbered.withColumn("_known", known)
         .groupBy(*by, bucket)
@@ -257,8 +259,8 @@ def neighbours(
         .select(
             *by,
             bucket,
-            F.last("_last", True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_back"),
-            F.first("_first", True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("_ahead"),
+            F.last("_last", True).over(earlier(across.orderBy(bucket))).alias("_back"),
+            F.last("_first", True).over(earlier(across.orderBy(F.desc(bucket)))).alias("_ahead"),
         )
     )
     prev, nxt = F.coalesce("_prev", "_back"), F.coalesce("_next", "_ahead")

@@ -7,6 +7,7 @@ per aggregate row in a pandas UDF; the data itself never leaves the JVM.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -89,11 +90,10 @@ def with_residuals(df: DataFrame, x: str, y: str) -> DataFrame:
 def residual_spread(df: DataFrame, fitted: str, residual: str, bands: int = 10) -> DataFrame:
     """Spread of residuals per band of fitted values, the bands cut at exact quantiles."""
     cuts = {f"c{i}": i / bands for i in range(1, bands)}
-    edges = quantiles(df, fitted, cuts).select(F.array(*cuts).alias("edges"))
-    marked = with_scalars(df, edges)
-    band = F.size(F.filter("edges", lambda e: e < F.col(fitted))) + 1
+    marked = with_scalars(df, quantiles(df, fitted, cuts).drop("n"))
+    passed = [(F.col(c) < F.col(fitted)).cast("bigint") for c in cuts]
     return (
-        marked.groupBy(band.cast("bigint").alias("band"))
+        marked.groupBy((reduce(Column.__add__, passed) + 1).alias("band"))
         .agg(F.count("*").alias("n"), F.avg(fitted).alias("mean_fitted"), F.stddev_samp(residual).alias("sd"))
     )
 

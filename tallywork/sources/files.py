@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from .schemas import STAR_NAMES, star_schema
+
 # The two time spellings used in the CSV files.
 DATE_FORMAT = "yyyy-MM-dd"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
@@ -55,7 +57,14 @@ def write_table(
 
 
 def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+    """A table of a folder. Known tables bring their schema, so no file is opened to plan a query."""
+    reader = spark.read.schema(star_schema(table)) if table in STAR_NAMES else spark.read
+    return reader.parquet(f"{folder.rstrip('/')}/{table}.parquet")
+
+
+def register_folder(spark: SparkSession, folder: str, tables: Iterable[str] = STAR_NAMES) -> None:
+    """Make the tables of a folder available to SQL under their own names."""
+    register({t: read_parquet(spark, folder, t) for t in tables})
 
 
 def register(frames: Mapping[str, DataFrame]) -> None:

@@ -71,7 +71,7 @@ def main():
     qs, sqls = queries(), oracle_sql()
     names = args[1:] or list(qs)
     spark = get_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", **conf}
+        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g", **conf}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(folder)
