@@ -159,16 +159,19 @@ def head_rows(n: Column, fraction: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(n * fraction)).cast("bigint")
 
 
-def with_ranges(df: DataFrame, order: Sequence[str], out: str = "bucket") -> DataFrame:
+def with_ranges(
+    df: DataFrame, order: Sequence[str], out: str = "bucket", like: DataFrame | None = None
+) -> DataFrame:
     """Add an evenly filled range number that rises with the order columns (NULL sorts first).
 
     A value of the first column that fills whole ranges by itself is cut further by the second
     column, if there is one. The bounds come from one sketch pass and are the same however often
-    the plan runs.
+    the plan runs. They only balance the work, so they may come from ``like``, a frame that is
+    cheaper to read and has similar values.
     """
     first, *rest = order[:2]
     ranges = range_count(df.sparkSession)
-    cuts = df.agg(F.struct(*[sketch(c, ranges).alias(f"b{i}") for i, c in enumerate(order[:2])])).scalar()
+    cuts = (df if like is None else like).agg(F.struct(*[sketch(c, ranges).alias(f"b{i}") for i, c in enumerate(order[:2])])).scalar()
     marked = df.withColumn("_cuts", cuts).withColumn("_b0", F.col("_cuts.b0"))
     marked = with_value_range(marked, first, "_b0", ranges, "_r0")
     number = F.col("_r0")
@@ -192,42 +195,51 @@ def running(
     ``bucket`` must be non-null and rise with ``order`` (see ``with_ranges``): a group is worked on
     per bucket and only the bucket totals are ordered as a whole.
     """
-    sums = dict(sums or {})
-    by = list(by)
+    return _running(df, by, order, bucket, sums or {}, position).drop(_CELL)
+
+
+# Group and bucket as one struct. Structs with NULL fields are equal to each other, so NULL groups
+# join, and the join and the windows need the same partitioning: the rows are shuffled once.
+_CELL = "_cell"
+
+
+def _running(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str],
+    bucket: str,
+    sums: Mapping[str, str],
+    position: str,
+) -> DataFrame:
     group = [F.col(c) for c in by] or [F.lit(0)]
-    local = (
-        Window.partitionBy(*group, bucket)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    local = Window.partitionBy(_CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*by, bucket).agg(
         F.count("*").alias("_n"), *[F.sum(src).alias(f"_t_{out}") for out, src in sums.items()]
     )
     carried = totals.select(
-        *by,
-        bucket,
+        F.struct(*by, bucket).alias(_CELL),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         *[F.coalesce(F.sum(f"_t_{out}").over(before), F.lit(0)).alias(f"_b_{out}") for out in sums],
     )
-    joined = _join_groups(df, carried, [*by, bucket])
-    return joined.select(
-        *df.columns,
-        (F.col("_before") + F.count("*").over(local)).alias(position),
-        *[
-            (F.col(f"_b_{out}") + F.coalesce(F.sum(src).over(local), F.lit(0))).alias(out)
-            for out, src in sums.items()
-        ],
+    return (
+        df.withColumn(_CELL, F.struct(*by, bucket))
+        .join(carried, _CELL)
+        .select(
+            _CELL,
+            *_from_cell(df.columns, [*by, bucket]),
+            (F.col("_before") + F.count("*").over(local)).alias(position),
+            *[
+                (F.col(f"_b_{out}") + F.coalesce(F.sum(src).over(local), F.lit(0))).alias(out)
+                for out, src in sums.items()
+            ],
+        )
     )
 
 
-def _join_groups(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on group keys that matches NULL keys with each other."""
-    renamed = other.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in other.columns if c not in keys]
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return df.join(renamed, on).drop(*[f"_k_{k}" for k in keys])
+def _from_cell(columns: Sequence[str], keys: Sequence[str]) -> list[Column]:
+    """Columns of the input, the keys taken from the cell so that they need not travel twice."""
+    return [F.col(f"{_CELL}.{c}").alias(c) if c in keys else F.col(c) for c in columns]
 
 
 def neighbours(
@@ -237,34 +249,29 @@ def neighbours(
 
     Adds ``position, prev_position, prev_value, next_position, next_value``.
     """
-    numbered = running(df, by, order, bucket)
-    group = [F.col(c) for c in by] or [F.lit(0)]
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("position").alias("p"), F.col(value).alias("v")))
+    numbered = _running(df, by, order, bucket, {}, "position").withColumn("_known", known)
     # both directions look back over a growing frame; a frame that ends at the last row of the
     # partition would be worked out again for every row
-    inside = Window.partitionBy(*group, bucket)
+    inside = Window.partitionBy(_CELL)
     so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = (
-        numbered.withColumn("_known", known)
-        .withColumn("_prev", F.last("_known", True).over(so_far(inside.orderBy("position"))))
-        .withColumn("_next", F.last("_known", True).over(so_far(inside.orderBy(F.desc("position")))))
-        .drop("_known")
-    )
-    across = Window.partitionBy(*group)
+    rows = numbered.withColumn(
+        "_prev", F.last("_known", True).over(so_far(inside.orderBy("position")))
+    ).withColumn("_next", F.last("_known", True).over(so_far(inside.orderBy(F.desc("position")))))
+    across = Window.partitionBy(*([F.col(c) for c in by] or [F.lit(0)]))
     earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     edges = (
-        numbered.withColumn("_known", known)
-        .groupBy(*by, bucket)
+        numbered.groupBy(_CELL)
         .agg(F.max("_known").alias("_last"), F.min("_known").alias("_first"))
+        .select("*", f"{_CELL}.*")
         .select(
-            *by,
-            bucket,
+            _CELL,
             F.last("_last", True).over(earlier(across.orderBy(bucket))).alias("_back"),
             F.last("_first", True).over(earlier(across.orderBy(F.desc(bucket)))).alias("_ahead"),
         )
     )
     prev, nxt = F.coalesce("_prev", "_back"), F.coalesce("_next", "_ahead")
-    return _join_groups(rows, edges, [*by, bucket]).select(
+    return rows.join(edges, _CELL).select(
         *df.columns,
         "position",
         prev["p"].alias("prev_position"),

@@ -171,7 +171,8 @@ def avg_customer_revenue(spark, sf):
 
 @query(f"""WITH {AMOUNTS}
 SELECT order_id, customer_id, strftime(order_date, '%Y-%m-%d') AS order_date, CAST(amount AS DOUBLE) AS amount,
-       row_number() OVER (PARTITION BY customer_id ORDER BY order_date, order_id) - 1 AS nth FROM oa""")
+       row_number() OVER w - 1 AS nth, CAST(sum(amount) OVER w AS DOUBLE) AS spend_so_far FROM oa
+WINDOW w AS (PARTITION BY customer_id ORDER BY order_date, order_id)""")
 def nth_event(spark, sf):
     return tidy(sales.order_ordinals(from_star(spark, sf)))
 

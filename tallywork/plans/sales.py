@@ -251,11 +251,12 @@ def new_vs_repeat(shop: Shop) -> DataFrame:
 
 
 def order_ordinals(shop: Shop) -> DataFrame:
-    """Each completed order with how many the buyer placed before it."""
-    orders = with_ranges(order_amounts(shop), ["order_date", "order_id"])
-    numbered = running(orders, ["customer_id"], ["order_date", "order_id"], "bucket")
+    """Each completed order with how many the buyer placed before it and the spend so far."""
+    order = ["order_date", "order_id"]
+    ranged = with_ranges(order_amounts(shop), order, like=shop.completed_orders())
+    numbered = running(ranged, ["customer_id"], order, "bucket", {"spend_so_far": "amount"})
     return numbered.select(
-        "order_id", "customer_id", "order_date", "amount", (F.col("position") - 1).alias("nth")
+        "order_id", "customer_id", "order_date", "amount", (F.col("position") - 1).alias("nth"), "spend_so_far"
     )
 
 
