@@ -182,8 +182,9 @@ def bonferroni(
 ) -> DataFrame:
     """Arm test per segment, judged at alpha divided by the number of segments tested."""
     tests = arm_chi2(df.where(F.col(segment).isNotNull()), arm, flag, a, b, [segment])
-    limit = F.lit(ALPHA) / df.agg(F.count_distinct(segment)).scalar()
-    return tests.withColumn("limit", limit).withColumn(
+    # the sums keep the counted frame equal to the tested one, so that they share a shuffle
+    sizes = tests.agg(F.struct(F.count("*").alias("k"), *[F.sum(c).alias(c) for c in ("n_a", "x_a", "n_b", "x_b")]))
+    return tests.withColumn("limit", F.lit(ALPHA) / sizes.scalar()["k"]).withColumn(
         "significant", (F.col("p") < F.col("limit")).cast("int")
     )
 
@@ -237,17 +238,26 @@ def chunk_means(df: DataFrame, order: Sequence[str], value: str, size: int) -> D
     return spread.withColumn("theory", theory).withColumn("ratio", ratio("sd_of_means", "theory"))
 
 
-def nps(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Share of promoters minus share of detractors, times 100; missing scores leave the base."""
-    kept = df
-    for c in by:
-        kept = kept.where(F.col(c).isNotNull())
+def nps(df: DataFrame, score: str, by: str | None = None, total: str | None = None) -> DataFrame:
+    """Share of promoters minus share of detractors, times 100; missing scores leave the base.
+
+    With ``total`` the segments and the whole, under that label, come from one pass.
+    """
     s = F.col(score)
-    return kept.groupBy(*by).agg(
+    measures = [
         F.count(score).alias("n"),
         share_where(s >= PROMOTER_FROM).alias("promoters"),
         share_where(s <= DETRACTOR_TO).alias("detractors"),
-    ).withColumn("nps", (F.col("promoters") - F.col("detractors")) * 100)
+    ]
+    if by is None:
+        out = df.agg(*measures)
+    elif total is None:
+        out = df.where(F.col(by).isNotNull()).groupBy(by).agg(*measures)
+    else:
+        rolled = df.rollup(by).agg(F.grouping(by).alias("_all"), *measures)
+        label = F.when(F.col("_all") == 1, F.lit(total)).otherwise(F.col(by))
+        out = rolled.withColumn(by, label).where(F.col(by).isNotNull()).drop("_all")
+    return out.withColumn("nps", (F.col("promoters") - F.col("detractors")) * 100)
 
 
 def stratified_gap(
@@ -255,10 +265,20 @@ def stratified_gap(
 ) -> DataFrame:
     """Difference of group means overall and inside each stratum, flagging reversed signs."""
     x = double(value)
-    mean = lambda level: F.avg(F.when(F.col(group) == level, x))
-    overall = df.agg(mean(b) - mean(a)).scalar()
-    inside = df.where(F.col(stratum).isNotNull()).groupBy(stratum).agg((mean(b) - mean(a)).alias("gap"))
-    return inside.withColumn("overall_gap", overall).withColumn(
-        "reversed",
-        F.coalesce(F.signum("gap") * F.signum("overall_gap") < 0, F.lit(False)).cast("int"),
+    sums = []
+    for name, level in (("a", a), ("b", b)):
+        here = F.when(F.col(group) == level, x)
+        sums += [F.sum(here).alias(f"s_{name}"), F.count(here).alias(f"k_{name}")]
+    cells = df.groupBy(stratum).agg(*sums)
+
+    def gap(total=lambda c: F.col(c)) -> Column:
+        return ratio(total("s_b"), total("k_b")) - ratio(total("s_a"), total("k_a"))
+
+    return (
+        cells.where(F.col(stratum).isNotNull())
+        .select(stratum, gap().alias("gap"), cells.agg(gap(F.sum)).scalar().alias("overall_gap"))
+        .withColumn(
+            "reversed",
+            F.coalesce(F.signum("gap") * F.signum("overall_gap") < 0, F.lit(False)).cast("int"),
+        )
     )

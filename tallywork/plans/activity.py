@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import double, ratio
 from ..operators.series import moving_mean
@@ -59,10 +59,9 @@ def daily_roas(campaigns: DataFrame, days: int = 7) -> DataFrame:
     """Daily cost, revenue and return per channel, smoothed, with each channel's worst day marked."""
     daily = campaigns.select("day", "channel", "cost", "revenue", ratio("revenue", "cost").alias("roas"))
     smooth = moving_mean(daily, ["channel"], "day", "roas", days, "roas_mean")
-    worst = daily.where(F.col("roas").isNotNull()).groupBy("channel").agg(
-        F.min_by("day", F.struct("roas", "day")).alias("worst_day")
-    )
-    return smooth.join(worst, "channel", "left").withColumn(
+    # one row per day and channel, so a channel is no longer than the calendar
+    lowest = F.min(F.when(F.col("roas").isNotNull(), F.struct("roas", "day")))
+    return smooth.withColumn("worst_day", lowest.over(Window.partitionBy("channel"))["day"]).withColumn(
         "is_worst", F.coalesce(F.col("day") == F.col("worst_day"), F.lit(False)).cast("int")
     )
 

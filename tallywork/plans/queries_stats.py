@@ -68,9 +68,7 @@ _NPS = """count(score) AS n, round(avg(CASE WHEN score >= 9 THEN 1.0 WHEN score
 
 @query(f"""WITH {_SURVEY} SELECT 'all' AS segment, {_NPS} FROM sv UNION ALL SELECT segment, {_NPS} FROM sv GROUP BY 1""")
 def nps_by_segment(spark, sf):
-    sv = _survey(spark, sf)
-    whole = inference.nps(sv, "score").withColumn("segment", F.lit("all"))
-    return tidy(whole.unionByName(inference.nps(sv, "score", ["segment"])))
+    return tidy(inference.nps(_survey(spark, sf), "score", "segment", total="all"))
 
 
 @query(f"""WITH {_SURVEY} SELECT segment, round(avg(satisfaction) FILTER (membership = 'F'), 6) AS f,
