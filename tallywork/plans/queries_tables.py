@@ -10,7 +10,7 @@ from ..operators import clean, profile, tables
 from ..operators.ordered import value_ladder
 from ..sources.activity import campaigns, events
 from ..sources.files import read_parquet, run_sql
-from ..sources.shop import from_star
+from ..sources.shop import areas, from_star
 from . import sales
 from .activity import tally
 from .catalog import AMOUNTS, BUYERS, CAMPAIGNS, EVENTS, LINES, query, tidy
@@ -569,3 +569,28 @@ def head_tail_distinct(spark, sf):
     for more in (last, label, kinds, dates):
         out = out.unionByName(more)
     return out
+
+
+@query("""SELECT n_name AS prefecture, count(*) AS customers FROM customer JOIN nation ON n_nationkey = c_nationkey
+GROUP BY 1 QUALIFY row_number() OVER (ORDER BY count(*) DESC, n_name) <= 5""")
+def customers_by_prefecture(spark, sf):
+    """The five areas with most customers, counted before the join."""
+    counts = from_star(spark, sf).customers.groupBy("area_id").agg(F.count("*").alias("customers"))
+    named = counts.join(areas(spark, sf), "area_id").select("prefecture", "customers")
+    return named.orderBy(F.desc("customers"), "prefecture").limit(5)
+
+
+@query("""SELECT CASE WHEN c_acctbal < 0 THEN 'below 0' WHEN c_acctbal < 2500 THEN '0-2499' WHEN c_acctbal < 5000 THEN '2500-4999'
+    WHEN c_acctbal < 7500 THEN '5000-7499' ELSE '7500 and over' END AS band, c_mktsegment AS acquisition_channel, count(*) AS customers,
+  round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY c_mktsegment), 6) AS share FROM customer GROUP BY 1, 2""")
+def customer_bands(spark, sf):
+    """Customers per band and channel, with each channel's mix."""
+    band = bands_below(
+        "balance", (0, 2500, 5000, 7500), ("below 0", "0-2499", "2500-4999", "5000-7499", "7500 and over")
+    )
+    counts = (
+        from_star(spark, sf)
+        .customers.groupBy(band.alias("band"), "acquisition_channel")
+        .agg(F.count("*").alias("customers"))
+    )
+    return tidy(tables.share_within(counts, ["acquisition_channel"], "customers"))
