@@ -15,7 +15,7 @@ from ..functions.columns import bands_below, ratio, year_month
 from ..operators.ordered import quantiles, running, top_share, with_ranges
 from ..operators.series import change, running_total
 from ..operators.tables import share_of_all, share_within, top_per_group
-from ..sources.shop import Shop
+from ..sources.shop import Shop, cents_to_money
 
 # Price bands.
 PRICE_EDGES = (2000, 5000)
@@ -31,9 +31,12 @@ def sales_lines(shop: Shop, *order_columns: str) -> DataFrame:
 def order_amounts(shop: Shop) -> DataFrame:
     """One row per completed order with lines: ``order_id, customer_id, order_date, amount, lines``."""
     sums = shop.order_items.groupBy("order_id").agg(
-        F.sum("amount").alias("amount"), F.count("*").alias("lines")
+        F.sum("cents").alias("_cents"), F.count("*").alias("lines")
+    )
+    orders = shop.completed_orders().select("order_id", "customer_id", "order_date")
+    return orders.join(sums, "order_id").select(
+        *orders.columns, cents_to_money(F.col("_cents")).alias("amount"), "lines"
     )
-    return shop.completed_orders().select("order_id", "customer_id", "order_date").join(sums, "order_id")
 
 
 def customer_totals(shop: Shop) -> DataFrame:
@@ -50,8 +53,11 @@ def product_totals(shop: Shop, period: Column | None = None) -> DataFrame:
     """One row per sold product (and period): ``product_id, revenue, lines``."""
     by = [] if period is None else [period.alias("period")]
     lines = sales_lines(shop, *([] if period is None else ["order_date"]))
-    return lines.groupBy("product_id", *by).agg(
-        F.sum("amount").alias("revenue"), F.count("*").alias("lines")
+    return (
+        lines.groupBy("product_id", *by)
+        .agg(F.sum("cents").alias("_cents"), F.count("*").alias("lines"))
+        .withColumn("revenue", cents_to_money(F.col("_cents")))
+        .drop("_cents")
     )
 
 
