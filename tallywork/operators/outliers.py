@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -62,10 +62,9 @@ def threshold_rule(
 ) -> DataFrame:
     """Precision and recall of "every measure above its median among the flagged rows"."""
     positives = df.where(F.col(flag) == 1)
-    marked, cuts = df, {}
+    marked = df
     for m in measures:
-        cuts[m] = quantiles(positives, m, {f"cut_{m}": 0.5}).select(f"cut_{m}")
-        marked = with_scalars(marked, cuts[m])
+        marked = with_scalars(marked, quantiles(positives, m, {f"cut_{m}": 0.5}).select(f"cut_{m}"))
     rule = F.lit(True)
     for m in measures:
         rule = rule & (F.coalesce(double(m) > F.col(f"cut_{m}"), F.lit(False)))
