@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, bpe, chat, counts, language, licenses, repetition, secret_scan
+from . import blocks, bpe, chat, counts, jaccard, language, licenses, packing, repetition, secret_scan
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.groups(_documents(spark, folder))
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_documents(spark, folder))
 
@@ -27,6 +31,10 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.assess(_documents(spark, folder))
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digests(packing.pack(_documents(spark, folder)))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(_documents(spark, folder))
 
@@ -55,14 +63,11 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Runner] = {
     f.__name__: f
     for f in (
-        op2_language_id, op3_exact_dedup, op4_quality_rules, op6_bpe, op7_secret_scan, op8_token_counts,
-        op9_license_scan, op10_chat_format,
+        op1_ngram_jaccard, op2_language_id, op3_exact_dedup, op4_quality_rules, op5_packing, op6_bpe,
+        op7_secret_scan, op8_token_counts, op9_license_scan, op10_chat_format,
     )
 }
 
-_WORDS = r"[^\x20\x09-\x0D]+"
-_LICENSE_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
 ORACLES: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
