@@ -113,6 +113,23 @@ def people(spark):
     return rows, spark.createDataFrame(rows, "lvl int, ten int, edu string, pay double")
 
 
+@pytest.mark.parametrize("df", [1e5, 1.1e5, 1e6, 1e8, 1e10, 1e12])
+def test_tails_at_large_degrees_of_freedom(df):
+    """Against the normal tail with its first correction in 1 / df, and the median of chi-square."""
+    for t in (0.5, 1.0, 2.5):
+        first = t * (t * t + 1) / (4 * df) * 2 * math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        assert tails.student_two_sided(t, df) == pytest.approx(math.erfc(t / math.sqrt(2)) + first, abs=1e-9)
+    z = lambda x: ((x / df) ** (1 / 3) - 1 + 2 / (9 * df)) / math.sqrt(2 / (9 * df))
+    for x in (df, df + math.sqrt(2 * df), df - 2 * math.sqrt(2 * df)):
+        assert tails.chi2_upper(x, df) == pytest.approx(0.5 * math.erfc(z(x) / math.sqrt(2)), abs=2e-5)
+
+
+def test_tails_on_both_sides_of_the_large_form(monkeypatch):
+    small = [tails.student_two_sided(1.7, 3e5), tails.chi2_upper(2.003e5, 2e5)]
+    monkeypatch.setattr(tails, "_LARGE", 1e9)
+    assert [tails.student_two_sided(1.7, 3e5), tails.chi2_upper(2.003e5, 2e5)] == pytest.approx(small, abs=1e-8)
+
+
 def test_ols_against_lstsq(people):
     rows, df = people
     dummies = regression.dummy_columns("edu", ["c", "b", "a"], "edu")
