@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .files import read_parquet
 
-# The event kinds.
-EVENT_KINDS = ("view", "click", "signup", "purchase", "error")
-
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """``event_id, ts, day, user_id, kind, value``."""
@@ -44,6 +41,7 @@ def readings(ev: DataFrame) -> DataFrame:
         F.when(~fault, F.col("value")).alias("reading"),
         F.col("value").alias("raw_reading"),
         fault.cast("int").alias("defect"),
+        *(["at"] if "at" in ev.columns else []),
     )
 
 

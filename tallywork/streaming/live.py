@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import double
 from ..operators.inference import looks_from_counts
@@ -29,30 +29,41 @@ def event_stream(spark: SparkSession, folder: str, late: str | None = None) -> D
         .option("maxFilesPerTrigger", FILES_PER_BATCH)
         .parquet(f"{folder.rstrip('/')}/events.parque[t]")
     )
-    stream = shape_events(raw).withColumn("at", F.col("ts").cast("timestamp"))
+    stream = shape_events(raw).withColumn("at", as_utc("ts"))
     return stream.withWatermark("at", late) if late else stream
 
 
+def as_utc(ts: str) -> Column:
+    """The instant at which a clock in UTC shows a time without zone, whatever the session's zone is."""
+    seconds = F.unix_date(F.col(ts).cast("date")).cast("bigint") * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    rest = (F.extract(F.lit("SECOND"), F.col(ts)) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(seconds * 1_000_000 + rest)
+
+
+def utc_day(instant: Column) -> Column:
+    """The date of an instant in UTC."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86_400).cast("int"))
+
+
 def daily_counts(stream: DataFrame) -> DataFrame:
-    """Events and value per day and kind."""
+    """Events and value per UTC day and kind. With a watermark, a closed day can be appended and forgotten."""
     return (
         stream.groupBy(F.window("at", "1 day").alias("w"), "kind")
         .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(15,2)")).alias("amount"))
-        .select(F.col("w.start").cast("date").alias("day"), "kind", "n", "amount")
+        .select(utc_day(F.col("w.start")).alias("day"), "kind", "n", "amount")
     )
 
 
-def sliding_week(stream: DataFrame) -> DataFrame:
-    """Events and mean value per kind over seven-day windows that start every day."""
+def sliding_week(days: DataFrame) -> DataFrame:
+    """Events and mean value per kind over seven days from each day, from daily counts.
+
+    The stream keeps one row per day and kind; only these are copied into the seven weeks they lie in.
+    """
     return (
-        stream.groupBy(F.window("at", "7 days", "1 day").alias("w"), "kind")
-        .agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(15,2)")).alias("_s"))
-        .select(
-            F.col("w.start").cast("date").alias("first_day"),
-            "kind",
-            "n",
-            (double("_s") / F.col("n")).alias("mean_value"),
-        )
+        days.withColumn("first_day", F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.date_sub("day", k))))
+        .groupBy("first_day", "kind")
+        .agg(F.sum("n").alias("n"), F.sum("amount").alias("_s"))
+        .select("first_day", "kind", "n", (double("_s") / F.col("n")).alias("mean_value"))
     )
 
 
@@ -64,13 +75,25 @@ def sensor_baseline(history: DataFrame) -> DataFrame:
 
 
 def flag_readings(stream: DataFrame, baseline: DataFrame) -> DataFrame:
-    """Readings more than three standard deviations from their machine's baseline. Stateless."""
+    """Readings more than three standard deviations from their machine's baseline. Stateless.
+
+    The baseline should be a written table: a plan over the history would read it again in every batch.
+    """
     x = double("reading")
     return (
         readings(stream)
         .join(baseline, "machine_id")
         .where(F.abs(x - F.col("mean")) > SIGMAS * F.col("sd"))
-        .select("machine_id", "event_id", "ts", "reading")
+        .select("machine_id", "event_id", "ts", "reading", *(["at"] if "at" in stream.columns else []))
+    )
+
+
+def hourly_flags(flagged: DataFrame) -> DataFrame:
+    """Flagged readings per machine and hour, of readings that carry their event time ``at``."""
+    return (
+        flagged.groupBy(F.window("at", "1 hour").alias("w"), "machine_id")
+        .agg(F.count("*").alias("flags"), F.max("reading").alias("highest"))
+        .select("machine_id", F.floor(F.unix_seconds("w.start") / 3_600).alias("epoch_hour"), "flags", "highest")
     )
 
 
@@ -97,6 +120,7 @@ def settle(stream: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame
     def replace(batch: DataFrame, _epoch: int) -> None:
         finish(batch).write.mode("overwrite").parquet(f"{base}/result")
 
+    replace(spark.createDataFrame([], stream.schema), -1)  # what a stream without events leaves
     run = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", f"{base}/state")

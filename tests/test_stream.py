@@ -57,6 +57,36 @@ def test_flags_are_stateless(spark):
     assert 0 < rows.count() < events(spark, SMALL).count()
 
 
+def test_results_do_not_depend_on_the_session_zone(spark):
+    def run(zone):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            days = live.settle(live.daily_counts(live.event_stream(spark, SMALL)), "t-zone").collect()
+            weeks = live.settle(live.daily_counts(live.event_stream(spark, SMALL)), "t-zone", live.sliding_week).collect()
+            return sorted(map(str, days)), sorted(map(str, weeks))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+    assert run("UTC") == run("Asia/Tokyo") == run("America/New_York")
+
+
+def test_a_stream_without_events_gives_an_empty_frame(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([], DDL).write.parquet(f"{folder}/events.parquet")
+    got = live.settle(live.daily_counts(live.event_stream(spark, folder)), "t-none")
+    assert got.columns == ["day", "kind", "n", "amount"] and got.isEmpty()
+
+
+def test_baseline_may_come_from_many_files(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 20), i % 7, "view", float(i % 50)) for i in range(400)]
+    for k in range(4):
+        write(spark, folder, rows[k::4] + [(1000 + k, dt.datetime(2024, 1, 3), 1, "view", 1e4)])
+    hours = live.hourly_flags(live.flag_readings(live.event_stream(spark, folder), live.sensor_baseline(events(spark, folder))))
+    got = live.settle(hours, "t-hours").collect()
+    assert [(r.machine_id, r.flags, r.highest) for r in got] == [("M-02", 4, 1e4)]
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
@@ -64,7 +94,7 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 
 
 def test_every_window_of_the_week_counts_each_event(spark):
-    got = live.settle(live.sliding_week(live.event_stream(spark, SMALL)), "t-week")
+    got = live.settle(live.daily_counts(live.event_stream(spark, SMALL)), "t-week", live.sliding_week)
     assert got.agg(F.sum("n")).first()[0] == 7 * events(spark, SMALL).count()
     assert got.where(F.col("mean_value").isNull()).count() == 0
     assert pytest.approx(got.count(), abs=0) == got.select("first_day", "kind").distinct().count()
