@@ -10,6 +10,7 @@ from ..functions.columns import double, equal_width_bin
 from .ordered import value_groups
 from .outliers import fences
 from .profile import with_scalars
+from .tables import spread_join
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -41,7 +42,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     x = double(value)
     inside = (x >= F.col("lower")) & (x <= F.col("upper"))
     return (
-        counts.join(lines, list(by))
+        spread_join(counts, lines, by)
         .groupBy(*by)
         .agg(
             F.max("_q1").alias("q1"),

@@ -178,7 +178,9 @@ def with_ranges(
     if rest:
         marked = with_value_range(marked.withColumn("_b1", F.col("_cuts.b1")), rest[0], "_b1", ranges, "_r1")
         fills = (F.get("_b0", F.col("_r0")) == F.col(first)) & (F.get("_b0", F.col("_r0") + 1) == F.col(first))
-        number = F.col("_r0") * 2 * ranges + F.when(fills, ranges + F.col("_r1")).otherwise(0)
+        number = (F.col("_r0") + 1) * 2 * ranges + F.when(fills, ranges + F.col("_r1")).otherwise(0)
+        # rows without a first value come first and are cut by the second one alone
+        number = F.when(F.col(first).isNull(), F.col("_r1")).otherwise(number)
     return marked.withColumn(out, number).drop("_cuts", "_b0", "_b1", "_r0", "_r1")
 
 

@@ -103,8 +103,8 @@ def modes(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     counts = clean.groupBy(*by, value).agg(F.count("*").alias("n"))
     if not by:
         return counts.where(F.col("n") == counts.agg(F.max("n")).scalar())
-    best = counts.groupBy(*by).agg(F.max("n").alias("n"))
-    return counts.join(best, [*by, "n"]).select(*by, value, "n")
+    best = counts.groupBy(*by).agg(F.max("n").alias("_best"))
+    return counts.join(best, list(by)).where(F.col("n") == F.col("_best")).select(*by, value, "n")
 
 
 def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:

@@ -18,6 +18,7 @@ from ..functions.columns import double
 from ..functions.tails import student_p
 from .ordered import quantiles
 from .profile import with_scalars
+from .tables import known_level
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -99,10 +100,12 @@ def residual_spread(df: DataFrame, fitted: str, residual: str, bands: int = 10)
 
 
 def dummy_columns(column: str, levels: Sequence[str], prefix: str) -> dict[str, Column]:
-    """0/1 columns for every level but the alphabetically first, which is the baseline."""
-    return {
-        f"{prefix}_{v}": F.when(F.col(column) == v, 1.0).otherwise(0.0) for v in sorted(levels)[1:]
-    }
+    """0/1 columns for every level but the alphabetically first, which is the baseline.
+
+    A value that is not among the levels is an error; it would count as the baseline otherwise.
+    """
+    value = known_level(column, levels, T.StringType())
+    return {f"{prefix}_{v}": F.when(value == v, 1.0).otherwise(0.0) for v in sorted(levels)[1:]}
 
 
 _SOLVED = (

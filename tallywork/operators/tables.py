@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import ratio
 
-MAX_LEVELS = 1_000
+SALTS = 16
 
 
-def levels(df: DataFrame, column: str, most: int = MAX_LEVELS) -> list:
+def levels(df: DataFrame, column: str, most: int) -> list:
     """Sorted distinct values of a category column, for naming pivot or dummy columns.
 
-    Only the names come to the driver, and a column with more than ``most`` of them is refused.
+    Only the names come to the driver. ``most`` is how many columns the caller is ready to make of
+    them; a column with more levels is an error and belongs in long form.
     """
     rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
     if len(rows) > most:
@@ -28,17 +29,25 @@ def wide(
 ) -> DataFrame:
     """Pivot to one column per named level. Rows with a NULL key are left out.
 
-    ``agg`` is ``"count"`` or a function name applied to ``value``.
+    A level without a name is an error, so none can vanish. ``agg`` is ``"count"`` or a function name applied to ``value``.
     """
     clean = df
     for c in [*rows, column]:
         clean = clean.where(F.col(c).isNotNull())
+    clean = clean.withColumn(column, known_level(column, names, df.schema[column].dataType))
     grouped = clean.groupBy(*rows).pivot(column, list(names))
     made = grouped.count() if agg == "count" else grouped.agg({value: agg})
     out = made.select(*rows, *[F.col(f"`{level}`").alias(label) for level, label in names.items()])
     return out if fill is None else out.na.fill(fill, subset=list(names.values()))
 
 
+def known_level(column: str, names: Collection, kind: T.DataType) -> Column:
+    """The column, or an error where it has a value that is not among ``names``."""
+    told = F.concat(F.lit(f"{column} has a level without a name: "), F.col(column).cast("string"))
+    fits = F.col(column).isNull() | F.col(column).isin(*names)
+    return F.when(fits, F.col(column)).otherwise(F.raise_error(told).cast(kind))
+
+
 def to_wide(
     df: DataFrame, row: str, column: str, names: Mapping[object, str], value: str
 ) -> DataFrame:
@@ -85,7 +94,17 @@ def with_group_stats(df: DataFrame, by: Sequence[str], **stats: Column) -> DataF
     kept = df
     for c in by:
         kept = kept.where(F.col(c).isNotNull())
-    return kept.join(kept.groupBy(*by).agg(*[e.alias(k) for k, e in stats.items()]), list(by))
+    return spread_join(kept, kept.groupBy(*by).agg(*[e.alias(k) for k, e in stats.items()]), by)
+
+
+def spread_join(rows: DataFrame, few: DataFrame, by: Sequence[str], salts: int = SALTS) -> DataFrame:
+    """Join with one row per key, each copied ``salts`` times, so that a crowded key is spread over tasks.
+
+    The salt comes from the row's content, so a task that runs again deals its rows the same way.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*by, "_salt"]).drop("_salt")
 
 
 def fan_out(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -29,6 +29,8 @@ FROM (SELECT {expr} AS v FROM {table})"""
     _audit_sql(
         "events",
         {
+            "event_id": "event_id",
+            "ts": "ts",
             "user_id": "user_id",
             "event_type": "event_type",
             "value": "CASE WHEN event_type <> 'error' THEN value END",
@@ -38,7 +40,7 @@ FROM (SELECT {expr} AS v FROM {table})"""
 )
 def profile_audit(spark, sf):
     raw = read_parquet(spark, sf, "events")
-    holed = raw.select("user_id", "event_type", F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "props")
+    holed = raw.withColumn("value", F.when(F.col("event_type") != "error", F.col("value")))
     return profile.audit(holed)
 
 
@@ -161,7 +163,8 @@ UNION ALL SELECT 'texts', lang, count(*) FROM (SELECT lang, text FROM documents
   QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1) GROUP BY 2""")
 def dedup_rows(spark, sf):
     d = read_parquet(spark, sf, "documents")
-    rows = clean.drop_duplicate_rows(d.select("text", "lang", "source"))
+    # texts are compared by digest, so that none is shuffled whole
+    rows = clean.drop_duplicate_rows(d.select(F.sha2("text", 256).alias("digest"), "lang", "source"))
     slim = d.select(F.sha2("text", 256).alias("digest"), "lang", "doc_id")
     texts = clean.keep_first(slim, ["digest"], ["doc_id"])
     count = lambda df, what: df.groupBy("lang").agg(F.count("*").alias("n")).withColumn("what", F.lit(what))

@@ -11,7 +11,6 @@ from ..sources.shop import from_star
 from . import activity, sales
 from .catalog import CAMPAIGNS, EVENTS, LINES, query, tidy
 
-TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")  # fixed values: category names
 
 _DAILY = """d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS sessions, count(DISTINCT user_id) AS users,
   sum(CAST(value AS DECIMAL(15,2))) AS revenue FROM events GROUP BY 1)"""
@@ -82,13 +81,13 @@ def weekday_traffic(spark, sf):
 
 
 @query("""WITH s AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
-    FROM orders WHERE o_orderpriority = '1-URGENT' AND month(o_orderdate) <> 6 GROUP BY 1),
+    FROM orders GROUP BY 1),
   c AS (SELECT unnest(generate_series((SELECT min(m) FROM s), (SELECT max(m) FROM s), INTERVAL 1 MONTH)) AS m)
 SELECT strftime(c.m, '%Y-%m-%d') AS period, coalesce(orders, 0) AS orders, CAST(coalesce(total, 0) AS DOUBLE) AS total
 FROM c LEFT JOIN s ON s.m = c.m""")
 def calendar_month_totals(spark, sf):
-    """Months without a row are still listed: June is left out of the input on purpose."""
-    o = from_star(spark, sf).orders.where((F.col("payment_method") == "1-URGENT") & (F.month("order_date") != 6))
+    """All orders by calendar month; a month without a row would still be listed."""
+    o = from_star(spark, sf).orders
     totals = series.month_totals(o, "order_date", {"orders": F.lit(1), "total": F.col("order_total")})
     return tidy(totals.orderBy("period"))
 
@@ -135,7 +134,8 @@ def cumulative_index(spark, sf):
 @query(f"""WITH {_PRICES} SELECT x.series AS a, y.series AS b, round(corr(x.r, y.r), 6) AS r
 FROM rf x JOIN rf y ON x.ym = y.ym AND x.series < y.series GROUP BY 1, 2""")
 def return_corr(spark, sf):
-    return tidy(series.pair_correlations(_returns(spark, sf), "series", "ym", TYPES))
+    names = tables.levels(from_star(spark, sf).products, "category", 200)
+    return tidy(series.pair_correlations(_returns(spark, sf), "series", "ym", names))
 
 
 _FUNNEL = f"""WITH {CAMPAIGNS}, f AS (SELECT channel, CAST(sum(impressions) AS BIGINT) AS impressions, CAST(sum(clicks) AS BIGINT) AS clicks,

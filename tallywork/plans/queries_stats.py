@@ -9,13 +9,11 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import double, ratio, year_month
 from ..functions.stats import adjusted_skewness
 from ..operators import charts, inference, outliers, regression, tables
-from ..session import materialise
 from ..sources.activity import arms, events, readings
 from ..sources.files import read_parquet
 from ..sources.shop import from_star
 from . import sales
 from .catalog import AMOUNTS, BUYERS, EVENTS, LINES, query, sql_normal_p, sql_student_p, tidy
-from .queries_tables import SEGMENTS
 
 VISITS, ORDER_VALUE = 100_000, 4_000  # fixed values: the volume an effect is translated to
 
@@ -74,8 +72,10 @@ def nps_by_segment(spark, sf):
 @query(f"""WITH {_SURVEY} SELECT segment, round(avg(satisfaction) FILTER (membership = 'F'), 6) AS f,
   round(avg(satisfaction) FILTER (membership = 'O'), 6) AS o FROM sv GROUP BY 1""")
 def segment_score_pivot(spark, sf):
-    wide = tables.wide(_survey(spark, sf), ["segment"], "membership", {"F": "f", "O": "o"}, "avg", value="satisfaction")
-    return tidy(wide)
+    """One column per membership that the data has."""
+    answers = _survey(spark, sf)
+    names = {level: level.lower() for level in tables.levels(answers, "membership", 20)}
+    return tidy(tables.wide(answers, ["segment"], "membership", names, "avg", value="satisfaction"))
 
 
 @query(f"""WITH {_SURVEY} SELECT 'q_price' AS driver, round(corr(satisfaction, q_price), 6) AS r FROM sv
@@ -320,16 +320,18 @@ def ols_two(spark, sf):
   lv AS (SELECT seg, avg(total_spend) - max(bu) * avg(balance) - max(bv) * avg(n_orders) AS lvl FROM f, b GROUP BY 1),
   r AS (SELECT 1 - (SELECT (syy - bu * syu - bv * syv) FROM b) / (SELECT var_samp(total_spend) FROM f) AS r2),
   {_OLS2.format(y='total_spend', u='balance', v='n_orders', t='f').replace('m AS', 'm0 AS', 1).replace('b AS', 'b0 AS', 1).replace('FROM m)', 'FROM m0)')},
-  x AS (SELECT 'with segment' AS model, 'intercept' AS term, lvl AS coef, (SELECT r2 FROM r) AS r2 FROM lv WHERE seg = 'AUTOMOBILE'
+  x AS (SELECT 'with segment' AS model, 'intercept' AS term, lvl AS coef, (SELECT r2 FROM r) AS r2 FROM lv WHERE seg = (SELECT min(seg) FROM lv)
     UNION ALL SELECT 'with segment', 'balance', bu, (SELECT r2 FROM r) FROM b UNION ALL SELECT 'with segment', 'n_orders', bv, (SELECT r2 FROM r) FROM b
-    UNION ALL SELECT 'with segment', 'seg_' || seg, lvl - (SELECT lvl FROM lv WHERE seg = 'AUTOMOBILE'), (SELECT r2 FROM r) FROM lv WHERE seg <> 'AUTOMOBILE'
+    UNION ALL SELECT 'with segment', 'seg_' || seg, lvl - (SELECT lvl FROM lv WHERE seg = (SELECT min(seg) FROM lv)), (SELECT r2 FROM r) FROM lv WHERE seg <> (SELECT min(seg) FROM lv)
     UNION ALL SELECT 'base', 'intercept', my - bu * mu - bv * mv, (bu * syu + bv * syv) / syy FROM b0
     UNION ALL SELECT 'base', 'balance', bu, (bu * syu + bv * syv) / syy FROM b0 UNION ALL SELECT 'base', 'n_orders', bv, (bu * syu + bv * syv) / syy FROM b0)
 SELECT model, term, round(coef, 3) AS coef, round(r2, 6) AS r2, (SELECT count(*) FROM f) AS n FROM x""")
 def ols_dummies(spark, sf):
     """Fit with and without segment dummies, from the same single pass."""
-    data = sales.buyer_features(from_star(spark, sf), "balance", "acquisition_channel")
-    dummies = regression.dummy_columns("acquisition_channel", SEGMENTS, "seg")
+    shop = from_star(spark, sf)
+    data = sales.buyer_features(shop, "balance", "acquisition_channel")
+    levels = tables.levels(shop.customers, "acquisition_channel", 50)
+    dummies = regression.dummy_columns("acquisition_channel", levels, "seg")
     base = ["balance", "n_orders"]
     fit = regression.ols(
         data.withColumns(dummies), "total_spend", {"base": base, "with segment": [*base, *dummies]}
@@ -355,10 +357,10 @@ SELECT category, round(max(q1), 4) AS q1, round(max(q3), 4) AS q3, min(x) FILTER
   count(*) FILTER (NOT inside) AS outliers, count(*) AS n FROM j GROUP BY 1""")
 def box_stats(spark, sf):
     shop = from_star(spark, sf)
+    # summed before any join, so that a crowded order is reduced on the map side
+    sums = shop.order_items.groupBy("order_id", "product_id").agg(F.sum("amount").alias("amount"))
     cells = (
-        sales.sales_lines(shop)
-        .groupBy("order_id", "product_id")
-        .agg(F.sum("amount").alias("amount"))
+        sums.join(shop.completed_orders().select("order_id"), "order_id")
         .join(shop.products.select("product_id", "category"), "product_id")
         .groupBy("category", "order_id")
         .agg(F.sum("amount").alias("amount"))
@@ -420,13 +422,12 @@ UNION ALL SELECT 'ranking', p_type, CAST(sum(amount) AS DOUBLE) FROM lines JOIN
 UNION ALL SELECT 'distribution', CAST(n_orders AS VARCHAR), count(*)::DOUBLE FROM pc GROUP BY 2
 UNION ALL SELECT 'relation', 'orders and spend', round(corr(total_spend::DOUBLE, n_orders), 6) FROM pc""")
 def dashboard(spark, sf):
-    """Four panels in one frame, three of them from one written customer-by-month base."""
+    """Four panels in one frame, three of them from one customer-by-month base whose shuffle they share."""
     shop = from_star(spark, sf)
-    base = materialise(
+    base = (
         sales.order_amounts(shop)
         .groupBy("customer_id", year_month("order_date").alias("ym"))
-        .agg(F.sum("amount").alias("amount"), F.count("*").alias("orders")),
-        "dashboard",
+        .agg(F.sum("amount").alias("amount"), F.count("*").alias("orders"))
     )
     buyers = base.groupBy("customer_id").agg(
         F.sum("amount").alias("spend"), F.sum("orders").alias("n_orders")

@@ -15,10 +15,7 @@ from . import sales
 from .activity import tally
 from .catalog import AMOUNTS, BUYERS, CAMPAIGNS, EVENTS, LINES, query, tidy
 
-# Level names of the star tables' category columns.
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-KINDS = ("click", "error", "purchase", "signup", "view")
+LEVELS = 50  # most columns that a pivot of this file should make
 
 
 @query("""SELECT count(*) FILTER (p_size >= 30 AND p_brand = 'Brand#13') AS both_hold,
@@ -88,41 +85,33 @@ def having_big_groups(spark, sf):
     return tidy(groups.where(F.col("buyers") >= 50))
 
 
-@query("""WITH l AS (SELECT l_partkey AS k, count(*) AS l FROM lineitem
-    WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01' GROUP BY 1),
-  r AS (SELECT p_partkey AS k, count(*) AS r FROM part WHERE p_size <= 25 GROUP BY 1),
+@query("""WITH l AS (SELECT l_partkey AS k, count(*) AS l FROM lineitem GROUP BY 1),
+  r AS (SELECT p_partkey AS k, count(*) AS r FROM part GROUP BY 1),
   b AS (SELECT coalesce(l, 0) AS l, coalesce(r, 0) AS r FROM l FULL JOIN r USING (k))
 SELECT CAST(sum(l) AS BIGINT) AS left_rows, CAST(sum(r) AS BIGINT) AS right_rows,
-  (SELECT count(*) FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size <= 25
-     AND l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01') AS inner_rows,
-  (SELECT count(*) FROM (SELECT * FROM lineitem WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01')
-     LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON p_partkey = l_partkey) AS left_join_rows,
-  (SELECT count(*) FROM (SELECT * FROM lineitem WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01')
-     RIGHT JOIN (SELECT * FROM part WHERE p_size <= 25) ON p_partkey = l_partkey) AS right_join_rows,
-  (SELECT count(*) FROM (SELECT * FROM lineitem WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01')
-     FULL JOIN (SELECT * FROM part WHERE p_size <= 25) ON p_partkey = l_partkey) AS full_join_rows,
+  (SELECT count(*) FROM lineitem JOIN part ON p_partkey = l_partkey) AS inner_rows,
+  (SELECT count(*) FROM lineitem LEFT JOIN part ON p_partkey = l_partkey) AS left_join_rows,
+  (SELECT count(*) FROM lineitem RIGHT JOIN part ON p_partkey = l_partkey) AS right_join_rows,
+  (SELECT count(*) FROM lineitem FULL JOIN part ON p_partkey = l_partkey) AS full_join_rows,
   count(*) FILTER (r = 0) AS left_only_keys, count(*) FILTER (l = 0) AS right_only_keys,
   count(*) FILTER (r > 1) AS repeated_right_keys FROM b""")
 def outer_join_audit(spark, sf):
     shop = from_star(spark, sf)
-    march = shop.order_items.where("ship_date >= DATE '1998-03-01' AND ship_date < DATE '1998-04-01'")
-    small = shop.products.where("size <= 25")
-    return tidy(tables.fan_out(march.select("product_id"), small.select("product_id"), "product_id"))
+    return tidy(tables.fan_out(shop.order_items.select("product_id"), shop.products.select("product_id"), "product_id"))
 
 
 @query("""WITH l AS (SELECT l_partkey AS product_id, sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS sold FROM lineitem
-    WHERE l_shipdate >= DATE '1998-03-01' AND l_shipdate < DATE '1998-04-01' GROUP BY 1),
-  r AS (SELECT p_partkey AS product_id, p_type AS category FROM part WHERE p_size <= 25)
+    GROUP BY 1),
+  r AS (SELECT p_partkey AS product_id, p_type AS category FROM part)
 SELECT product_id, category, CAST(sold AS DOUBLE) AS sold,
   CASE WHEN category IS NULL THEN 'left only' WHEN sold IS NULL THEN 'right only' ELSE 'both' END AS side
 FROM l FULL JOIN r USING (product_id)""")
 def full_join_sides(spark, sf):
     shop = from_star(spark, sf)
-    march = shop.order_items.where("ship_date >= DATE '1998-03-01' AND ship_date < DATE '1998-04-01'")
-    sold = march.groupBy("product_id").agg(F.sum("amount").alias("sold"))
-    small = shop.products.where("size <= 25").select("product_id", "category")
+    sold = shop.order_items.groupBy("product_id").agg(F.sum("amount").alias("sold"))
+    listed = shop.products.select("product_id", "category")
     side = F.when(F.col("category").isNull(), "left only").when(F.col("sold").isNull(), "right only").otherwise("both")
-    return tidy(sold.join(small, "product_id", "full").withColumn("side", side))
+    return tidy(sold.join(listed, "product_id", "full").withColumn("side", side))
 
 
 @query(f"""WITH {LINES}, s AS (SELECT product_id, sum(amount) AS a FROM lines GROUP BY 1)
@@ -252,17 +241,14 @@ def _channel_priority(shop):
     )
 
 
-_LABELS = {p: f"p{p[0]}" for p in PRIORITIES}
-
-
-@query("""SELECT c_mktsegment AS acquisition_channel,
-  count(*) FILTER (o_orderpriority = '1-URGENT') AS p1, count(*) FILTER (o_orderpriority = '2-HIGH') AS p2,
-  count(*) FILTER (o_orderpriority = '3-MEDIUM') AS p3, count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS p4,
-  count(*) FILTER (o_orderpriority = '5-LOW') AS p5
-FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+@query("""SELECT * FROM (PIVOT (SELECT c_mktsegment AS acquisition_channel, o_orderpriority
+  FROM orders JOIN customer ON c_custkey = o_custkey) ON o_orderpriority USING count(*) GROUP BY acquisition_channel)""")
 def crosstab_counts(spark, sf):
-    long = _channel_priority(from_star(spark, sf))
-    return tables.wide(long, ["acquisition_channel"], "payment_method", _LABELS, "sum", fill=0, value="orders")
+    """One column per priority that the orders have."""
+    shop = from_star(spark, sf)
+    names = {p: p for p in tables.levels(shop.orders, "payment_method", LEVELS)}
+    long = _channel_priority(shop)
+    return tables.wide(long, ["acquisition_channel"], "payment_method", names, "sum", fill=0, value="orders")
 
 
 @query(f"""WITH {LINES}, c AS (SELECT p.p_type AS category, CAST(year(order_date) AS VARCHAR) AS year,
@@ -280,14 +266,14 @@ def pivot_margins(spark, sf):
     return tidy(both)
 
 
-@query(f"""WITH {EVENTS}
-SELECT strftime(day, '%Y-%m-%d') AS day, count(*) FILTER (kind = 'click') AS click,
-  count(*) FILTER (kind = 'error') AS error, count(*) FILTER (kind = 'purchase') AS purchase,
-  count(*) FILTER (kind = 'signup') AS signup, count(*) FILTER (kind = 'view') AS view FROM ev GROUP BY 1""")
+@query("""SELECT * FROM (PIVOT (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type FROM events)
+  ON event_type USING count(*) GROUP BY day)""")
 def long_to_wide(spark, sf):
+    """One column per kind of event that the data has."""
     cells = events(spark, sf).groupBy("day", "kind").agg(F.count("*").alias("n"))
-    wide = tables.to_wide(cells, "day", "kind", {k: k for k in KINDS}, "n")
-    return tidy(wide.na.fill(0, subset=list(KINDS)))
+    kinds = tables.levels(cells, "kind", LEVELS)
+    wide = tables.to_wide(cells, "day", "kind", {k: k for k in kinds}, "n")
+    return tidy(wide.na.fill(0, subset=kinds))
 
 
 @query(f"""WITH {AMOUNTS}, s AS (SELECT customer_id, sum(amount) AS spend FROM oa GROUP BY 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +28,11 @@ def get_session(app: str = "tallywork", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``.
+    """A fresh folder under ``spark.checkpoint.dir``, else under the warehouse.
 
-    Every executor must be able to reach the folder, so a machine-local one is
-    only made for a local master that names none.
+    Every executor must be able to reach either of them; the rule is the same for every master.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

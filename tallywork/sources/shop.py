@@ -88,7 +88,7 @@ def from_star(spark: SparkSession, folder: str) -> Shop:
         F.col("l_linestatus").alias("line_status"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
         F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        (F.col("l_extendedprice").cast(MONEY) * 100).cast("bigint").alias("cents"),
     )
     return Shop(customers, products, orders, items, done="F")
 

@@ -4,9 +4,10 @@ import pytest
 from check import compare, oracle
 from conftest import SMALL
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallywork.plans import catalog
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = catalog.load()
 
 
 @pytest.fixture(scope="module")

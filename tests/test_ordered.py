@@ -141,3 +141,10 @@ def test_trailing_over_blocks(skewed, block):
     for r in rows:
         assert (r.m is None and np.isnan(mean[r.id])) or r.m == pytest.approx(mean[r.id])
         assert (r.p is None and np.isnan(back[r.id])) or r.p == back[r.id]
+
+
+def test_rows_without_a_first_value_are_cut_by_the_second(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("at"), "id")
+    rows = ordered.with_ranges(df, ["at", "id"]).orderBy("at", "id").collect()
+    assert [r.bucket for r in rows] == sorted(r.bucket for r in rows)
+    assert len({r.bucket for r in rows if r["at"] is None}) > 3

@@ -5,16 +5,16 @@ import re
 import pytest
 from conftest import SMALL
 
-from __spark_entry__ import queries
+from tallywork.plans import catalog
 
-QUERIES = queries()
+QUERIES = catalog.load()[0]
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream") and n != "dashboard"))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream")))
 def test_no_cross_join_and_no_row_udf(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ExistingRDD"):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallywork.operators import series, tables
+from tallywork.operators import regression, series, tables
 from tallywork.plans import activity
 
 
@@ -28,6 +28,25 @@ def test_to_wide_refuses_repeated_cells(spark):
         tables.to_wide(df.union(df.limit(1)), "d", "t", {"t": "t", "u": "u"}, "v").collect()
 
 
+def test_a_level_without_a_name_is_an_error(spark):
+    names = {"x": "cx"}
+    for agg in ("sum", "count"):
+        with pytest.raises(PySparkException, match="level without a name: y"):
+            tables.wide(cells(spark), ["r"], "c", names, agg, fill=0, value="n").collect()
+    df = spark.createDataFrame([("d", "t", 1.0), ("d", "u", 2.0)], "d string, t string, v double")
+    with pytest.raises(PySparkException, match="level without a name: u"):
+        tables.to_wide(df, "d", "t", {"t": "t"}, "v").collect()
+    with pytest.raises(PySparkException, match="level without a name: u"):
+        df.withColumns(regression.dummy_columns("t", ["s", "t"], "t")).collect()
+
+
+def test_spread_join_gives_every_row_once(spark):
+    rows = spark.range(1000).select("id", (F.col("id") % 7 == 0).alias("k"))
+    few = spark.createDataFrame([(True, 1), (False, 2)], "k boolean, v int")
+    got = tables.spread_join(rows, few, ["k"]).groupBy("v").count().collect()
+    assert {r.v: r["count"] for r in got} == {1: 143, 2: 857}
+
+
 def test_margins(spark):
     got = {(r.r, r.c): r.s for r in tables.with_margins(cells(spark), "r", "c", [F.sum("n").alias("s")]).collect()}
     assert got == {("a", "x"): 1, ("a", "y"): 2, ("b", "x"): 3, ("a", "total"): 3, ("b", "total"): 3,
@@ -41,7 +60,7 @@ def test_shares_add_up(spark):
 
 
 def test_levels_are_sorted_and_bounded(spark):
-    assert tables.levels(cells(spark), "c") == ["x", "y"]
+    assert tables.levels(cells(spark), "c", 2) == ["x", "y"]
     with pytest.raises(ValueError, match="more than 1 levels"):
         tables.levels(cells(spark), "c", most=1)
 
