@@ -83,14 +83,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.col(f"`{id_col}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), words(F.col(f"`{text_col}`")).alias("w")
     ).withColumn("h", F.concat(F.transform("w", lambda x: F.xxhash64(x)), F.array(F.lit(None).cast("bigint"))))
     # the last element of h is a mark that keeps one row of every text
-    spots = base.select("doc_id", "row", "w", "h", F.posexplode("h").alias("at", "one")).select(
+    spots = base.select("doc_id", "row", "w", "h", F.posexplode_outer("h").alias("at", "one")).select(
         "doc_id", "row", "w", "at", F.col("one").isNull().alias("mark"), F.size("w").alias("n_words"),
         F.when(F.col("at") + K <= F.size("w"), F.xxhash64(*(F.get("h", F.col("at") + i) for i in range(K)))).alias("key"),
     )
-    same = (F.col("s.key") == F.col("t.key")) & (F.slice("s.w", F.col("s.at") + 1, K) == F.col("t.gram"))
+    # the join is by hash; what it finds is compared word by word
+    same = F.slice("w", F.col("at") + 1, K) == F.col("gram")
     hits = (
-        spots.alias("s").join(F.broadcast(_windows(spark)).alias("t"), same, "left")
-        .where(F.col("mark") | F.col("template").isNotNull())
+        spots.join(F.broadcast(_windows(spark)), "key", "left")
+        .where(F.col("mark") | same)
         .groupBy("doc_id", "row", "template", "label", "exact", "need", (F.col("at") - F.col("place")).alias("diagonal"))
         .agg(
             F.max("n_words").alias("n_words"),
