@@ -53,7 +53,8 @@ def identities(
     text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), normalised(F.col(f"`{text_col}`")).alias("text"))
     pieces = text.select(F.explode(_blocks(size)).alias("block")).select(digest(F.col("block")).alias("digest"), "block")
     names = written(_block_names(pieces), "block-names")
-    clashing = names.where("block is not null").select("digest", "block", F.col("name").alias("exact"))
+    # as a rule no digests collide; then this is an empty table and no text moves to meet it
+    clashing = written(names.where("block is not null").select("digest", "block", F.col("name").alias("exact")), "clashing")
     plain = names.where("block is null").select("digest", "name")
 
     rows = text.select(
@@ -66,7 +67,6 @@ def identities(
         "row", "n", "pos", "block", digest(F.col("block")).alias("digest"),
         F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("sha256")).alias("sha256"),
     )
-    # as a rule no digests collide; this side is then an empty table and no text moves
     told = written(spread.join(clashing, ["digest", "block"], "left").drop("block"), "blocks")
     level = written(told.join(plain, "digest", "left").withColumn("name", F.coalesce("exact", "name")).drop("digest", "exact"), "names")
     most = level.agg(F.max("n")).first()[0] or 1
