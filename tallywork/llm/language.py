@@ -129,13 +129,13 @@ def predict(
     """
     model = sorted((lang, list(p)) for lang, p in model)
     langs = [lang for lang, _ in model]
-    unit = np.array([p for _, p in model], np.float64).reshape(len(langs), -1)
+    unit = np.array([p for _, p in model] or [[0.0]], np.float64)
     if langs:
         unit /= np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-12)
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        letters = Letters(unit.shape[1] if langs else 1)
+        letters = Letters(unit.shape[1])
         for batch in batches:
             rows = []
             for text in batch:
