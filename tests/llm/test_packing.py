@@ -51,9 +51,9 @@ def test_every_token_once(spark, shard_tokens):
 
 def test_neighbours_share_windows(spark):
     rng = random.Random(3)
-    topics = [[f"t{k}word{i}" for i in range(30)] for k in range(8)]
-    rows = [(i, " ".join(rng.choice(topics[i % 8]) for _ in range(40))) for i in range(160)]
-    pieces = packing.pack(table(spark, rows), window=512).collect()
+    topics = [["".join(rng.choice("abcdefghijklmnopqrstuvwx"[3 * k : 3 * k + 3]) for _ in range(6)) for _ in range(20)] for k in range(8)]
+    rows = [(i, " ".join(rng.choice(topics[i % 8]) for _ in range(30))) for i in range(200)]
+    pieces = packing.pack(table(spark, rows), window=1024).collect()
     near = {}
     for p in pieces:
         near.setdefault(p.sequence_id, []).append(p.doc_id % 8)
