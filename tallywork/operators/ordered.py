@@ -16,6 +16,7 @@ from ..functions.columns import double
 from ..session import range_count
 
 ROWS_PER_BLOCK = 100_000
+MERGE_TASKS = 64  # first level of merging the sketches of all input tasks
 
 
 def with_value_range(df: DataFrame, value: str, bounds: str, ranges: int, out: str) -> DataFrame:
@@ -171,7 +172,7 @@ def with_ranges(
     """
     first, *rest = order[:2]
     ranges = range_count(df.sparkSession)
-    cuts = (df if like is None else like).agg(F.struct(*[sketch(c, ranges).alias(f"b{i}") for i, c in enumerate(order[:2])])).scalar()
+    cuts = _bounds(df if like is None else like, order[:2], ranges).scalar()
     marked = df.withColumn("_cuts", cuts).withColumn("_b0", F.col("_cuts.b0"))
     marked = with_value_range(marked, first, "_b0", ranges, "_r0")
     number = F.col("_r0")
@@ -184,6 +185,20 @@ def with_ranges(
     return marked.withColumn(out, number).drop("_cuts", "_b0", "_b1", "_r0", "_r1")
 
 
+def _bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
+    """One struct of bounds b0, b1, ... per column.
+
+    Sketches are merged in two levels: those of the input tasks in MERGE_TASKS tasks, whose bounds are then
+    ranked once more. No task takes in a sketch from every input task.
+    """
+    names = [f"b{i}" for i in range(len(columns))]
+    level = lambda cols: [sketch(c, ranges).alias(b) for c, b in zip(cols, names)]
+    dealt = df.select(*columns).withColumn("_task", F.spark_partition_id() % MERGE_TASKS)
+    parts = dealt.groupBy("_task").agg(*level(columns))
+    spread = parts.select(F.explode(F.arrays_zip(*names)).alias("z")).select("z.*")
+    return spread.agg(F.struct(*level(names)))
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
