@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import zlib
+from array import array
 import unicodedata
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .merges import Memo, merge, once_per_worker
+from .merges import UNKNOWN, Memo, merge, once_per_worker, pair
 
 DEFAULT = "word_bpe_49k.json"
 
@@ -49,36 +50,44 @@ class WordBpe:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.words = {i: w for w, i in self.ids.items()} | {i: w for w, i in self.special.items()}
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(a, b): r for r, (a, b) in enumerate(pairs)}
-        self.end = model["end_of_word_suffix"]
+        if max(self.words) >= UNKNOWN:
+            raise ValueError("ids of this vocabulary need more than 16 bits")
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.ranks = {pair(self.ids[a], self.ids[b]): r for r, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[a + b] for a, b in pairs]
+        end = model["end_of_word_suffix"]
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]
         self.pieces = regex.compile(pattern["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.space = regex.compile(r"\p{White_Space}+")
         # what str.split() takes for white space although Unicode does not
         self.odd = regex.compile("[\x1c-\x1f]")
-        self.letters = _byte_letters()
-        self.piece = Memo(self._merge_piece)
-        self.chunk = Memo(self._encode_chunk)
+        letters = _byte_letters()
+        self.inner = [self.ids[letters[b]] for b in range(256)]
+        self.last = [self.ids[letters[b] + end] for b in range(256)]
+        self.piece = Memo(self._merge_piece, 300_000)
+        self.chunk = Memo(self._pack_chunk, 500_000)
         self.told = Memo(self._tell_chunk)
 
-    def _merge_piece(self, piece: str) -> list[int]:
-        symbols = list(map(self.letters.__getitem__, piece.encode("utf-8", "surrogatepass")))
-        symbols[-1] += self.end
-        return list(map(self.ids.__getitem__, merge(symbols, self.ranks)[0]))
+    def _merge_piece(self, piece: str) -> bytes:
+        data = piece.encode("utf-8", "surrogatepass")
+        symbols = list(map(self.inner.__getitem__, data))
+        symbols[-1] = self.last[data[-1]]
+        return array("H", merge(symbols, self.ranks, self.made)[0]).tobytes()
 
-    def _encode_chunk(self, chunk: str) -> list[int]:
+    def _pack_chunk(self, chunk: str) -> bytes:
         if chunk in self.special:
-            return [self.special[chunk]]
-        # each letter on its own: no final form of sigma
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+            return array("H", [self.special[chunk]]).tobytes()
+        if not chunk.isascii():
+            # each letter on its own: no final form of sigma
+            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        plain = chunk.lower()
         if plain.isalpha():
             return self.piece[plain]
-        return [i for piece in self.pieces.findall(plain) for i in self.piece[piece]]
+        return b"".join(map(self.piece.__getitem__, self.pieces.findall(plain)))
 
     def _tell_chunk(self, chunk: str) -> tuple[str, str]:
-        ids = self._encode_chunk(chunk)
+        ids = array("H", self._pack_chunk(chunk))
         return " ".join(map(str, ids)), self.decode(ids)
 
     def chunks(self, text: str) -> list[str]:
@@ -93,11 +102,12 @@ class WordBpe:
                 out += part.split()
         return out
 
+    def packed(self, text: str | None) -> bytes:
+        """Ids as unsigned 16-bit numbers in the machine's byte order."""
+        return b"".join(map(self.chunk.__getitem__, self.chunks(text or "")))
+
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for ids in map(self.chunk.__getitem__, self.chunks(text or "")):
-            out += ids
-        return out
+        return list(array("H", self.packed(text)))
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings in order; the vocabulary names no decoder, so a space joins them."""

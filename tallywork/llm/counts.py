@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import read_vocabulary, vocabulary_file
-from .merges import Memo, merge, once_per_worker
+from .merges import UNKNOWN, Memo, merge, once_per_worker, pair
 
 DEFAULT = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -31,13 +31,17 @@ class PieceCounter:
         self.scores = {model.id_to_piece(i): -model.get_score(i) for i in range(model.get_piece_size()) if not odd(i)}
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("a piece of this vocabulary crosses a word boundary")
-        # every way to make a piece of two; a symbol is a letter or a piece
-        whole = self.scores.keys() | {c for p in self.scores for c in p}
+        self.number = {p: i for i, p in enumerate(self.scores.keys() | {c for p in self.scores for c in p})}
+        if len(self.number) >= UNKNOWN:
+            raise ValueError("this vocabulary needs more than 16 bits")
+        # every way to make a piece of two symbols; a symbol is a letter or a piece
+        ranked = sorted(self.scores, key=self.scores.__getitem__)
+        self.made = [self.number[p] for p in ranked]
         self.ranks = {
-            (p[:i], p[i:]): round(rank)
-            for p, rank in self.scores.items()
+            pair(self.number[p[:i]], self.number[p[i:]]): rank
+            for rank, p in enumerate(ranked)
             for i in range(1, len(p))
-            if p[:i] in whole and p[i:] in whole
+            if p[:i] in self.number and p[i:] in self.number
         }
         self.parts = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.part = Memo(self._count_part)
@@ -46,7 +50,7 @@ class PieceCounter:
     def _count_part(self, part: str) -> int:
         # a letter outside the vocabulary counts as its bytes
         initial = sum(1 if c in self.scores else len(c.encode("utf-8", "surrogatepass")) for c in part)
-        _, merges = merge(list(part), self.ranks)
+        _, merges = merge([self.number.get(c, UNKNOWN) for c in part], self.ranks, self.made)
         return initial - merges
 
     def count(self, text: str | None) -> int:

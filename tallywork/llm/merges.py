@@ -38,39 +38,50 @@ def once_per_worker(key: tuple, make: Callable):
     return held[key]
 
 
-def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> tuple[list[str], int]:
-    """Symbols after all merges, and how many merges took place.
+GONE, UNKNOWN = 0xFFFF, 0xFFFE  # numbers no vocabulary entry has
 
-    The lowest rank goes first and, among equal ranks, the leftmost pair. A heap entry holds a rank and
-    a place; it is stale, and skipped, when the pair now at that place has another rank or is gone.
+
+def pair(a: int, b: int) -> int:
+    """Key of a pair of symbol numbers."""
+    return a << 16 | b
+
+
+def merge(symbols: list[int], ranks: dict[int, int], made: list[int]) -> tuple[list[int], int]:
+    """Symbol numbers after all merges, and how many merges took place.
+
+    ``ranks`` has the rank of each pair that merges and ``made`` the symbol that each rank makes. The lowest
+    rank goes first and, among equal ranks, the leftmost pair. A heap entry holds a rank and a place; it is
+    stale, and skipped, when the pair now at that place has another rank or is gone.
     """
     n = len(symbols)
     bits = n.bit_length()
     rank_of, mask = ranks.get, (1 << bits) - 1
     heap = [
-        r << bits | i for i, pair in enumerate(zip(symbols, symbols[1:])) if (r := rank_of(pair)) is not None
+        r << bits | i
+        for i, (a, b) in enumerate(zip(symbols, symbols[1:]))
+        if (r := rank_of(a << 16 | b)) is not None
     ]
     if not heap:
         return symbols, 0
     heapify(heap)
-    symbols = list(symbols)
-    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    symbols = [*symbols, GONE]  # stands after the last symbol and, as number -1, before the first
+    before, after = list(range(-1, n)), list(range(1, n + 2))
     merged = 0
     while heap:
         entry = heappop(heap)
         left = entry & mask
         right = after[left]
-        a = symbols[left]
-        if right >= n or a is None or rank_of((a, symbols[right])) != entry >> bits:
+        rank = entry >> bits
+        if rank_of(symbols[left] << 16 | symbols[right]) != rank:
             continue
-        symbols[left] = a = a + symbols[right]
-        symbols[right] = None
+        symbols[left] = a = made[rank]
+        symbols[right] = GONE
         after[left] = beyond = after[right]
+        before[beyond] = left
         merged += 1
-        if beyond < n:
-            before[beyond] = left
-            if (r := rank_of((a, symbols[beyond]))) is not None:
-                heappush(heap, r << bits | left)
-        if (prior := before[left]) >= 0 and (r := rank_of((symbols[prior], a))) is not None:
+        if (r := rank_of(a << 16 | symbols[beyond])) is not None:
+            heappush(heap, r << bits | left)
+        prior = before[left]
+        if (r := rank_of(symbols[prior] << 16 | a)) is not None:
             heappush(heap, r << bits | prior)
-    return [s for s in symbols if s is not None], merged
+    return [s for s in symbols if s != GONE], merged
