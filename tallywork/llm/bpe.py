@@ -67,7 +67,7 @@ class WordBpe:
         self.last = [self.ids[letters[b] + end] for b in range(256)]
         self.piece = Memo(self._merge_piece, 300_000)
         self.chunk = Memo(self._pack_chunk, 500_000)
-        self.told = Memo(self._tell_chunk)
+        self.told = Memo(self._tell_chunk, 300_000)
 
     def _merge_piece(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "surrogatepass")

@@ -44,8 +44,8 @@ class PieceCounter:
             if p[:i] in self.number and p[i:] in self.number
         }
         self.parts = regex.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.part = Memo(self._count_part)
-        self.word = Memo(lambda word: self._count_part(SPACE + word))
+        self.part = Memo(self._count_part, 300_000)
+        self.word = Memo(lambda word: self._count_part(SPACE + word), 600_000)
 
     def _count_part(self, part: str) -> int:
         # a letter outside the vocabulary counts as its bytes
