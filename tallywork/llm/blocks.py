@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .store import written
+from .store import Keep, scratch, written
 
 BLOCK = 4096  # code points
 SPACES = r"[\x20\x09-\x0D]+"
@@ -44,17 +44,19 @@ def _block_names(blocks: DataFrame) -> DataFrame:
 
 
 def identities(
-    docs: DataFrame, id_col: str, text_col: str, size: int = BLOCK, digest: Callable[[Column], Column] = F.xxhash64
+    docs: DataFrame, id_col: str, text_col: str, keep: Keep, size: int = BLOCK,
+    digest: Callable[[Column], Column] = F.xxhash64,
 ) -> DataFrame:
     """(row, doc_id, sha256, level, name) per input row; normalised texts are equal when (level, name) is.
 
-    ``level`` is the number of pairings that a text of so many blocks needs.
+    ``level`` is the number of pairings that a text of so many blocks needs. ``keep`` writes the table of a
+    step and reads it back.
     """
     text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), normalised(F.col(f"`{text_col}`")).alias("text"))
     pieces = text.select(F.explode(_blocks(size)).alias("block")).select(digest(F.col("block")).alias("digest"), "block")
-    names = written(_block_names(pieces), "block-names")
+    names = keep(_block_names(pieces), "block-names")
     # as a rule no digests collide; then this is an empty table and no text moves to meet it
-    clashing = written(names.where("block is not null").select("digest", "block", F.col("name").alias("exact")), "clashing")
+    clashing = keep(names.where("block is not null").select("digest", "block", F.col("name").alias("exact")), "clashing")
     plain = names.where("block is null").select("digest", "name")
 
     rows = text.select(
@@ -67,8 +69,8 @@ def identities(
         "row", "n", "pos", "block", digest(F.col("block")).alias("digest"),
         F.when(first, F.col("doc_id")).alias("doc_id"), F.when(first, F.col("sha256")).alias("sha256"),
     )
-    told = written(spread.join(clashing, ["digest", "block"], "left").drop("block"), "blocks")
-    level = written(told.join(plain, "digest", "left").withColumn("name", F.coalesce("exact", "name")).drop("digest", "exact"), "names")
+    told = keep(spread.join(clashing, ["digest", "block"], "left").drop("block"), "blocks")
+    level = keep(told.join(plain, "digest", "left").withColumn("name", F.coalesce("exact", "name")).drop("digest", "exact"), "names")
     most = level.agg(F.max("n")).first()[0] or 1
     done, depth = [], 0
     while True:
@@ -76,7 +78,7 @@ def identities(
         if most == 1:
             break
         left = F.col("pos") % 2 == 0
-        pairs = written(
+        pairs = keep(
             level.where("n > 1")
             .groupBy("row", F.floor(F.col("pos") / 2).cast("int").alias("pos"))
             .agg(
@@ -89,8 +91,8 @@ def identities(
             "pairs",
         )
         distinct = pairs.select("left", "right").distinct().sortWithinPartitions("left", "right")
-        named = written(distinct.withColumn("name", F.monotonically_increasing_id()), "pair-names")
-        level = written(pairs.join(named, ["left", "right"]).drop("left", "right"), "names")
+        named = keep(distinct.withColumn("name", F.monotonically_increasing_id()), "pair-names")
+        level = keep(pairs.join(named, ["left", "right"]).drop("left", "right"), "names")
         most, depth = -(-most // 2), depth + 1
     out = done[0]
     for part in done[1:]:
@@ -108,7 +110,8 @@ def groups(
     equal texts the row with the smallest id stays, a NULL id only where there is no other; of repeated rows
     with that id exactly one is kept. An empty table gives no rows. Other columns are not looked at.
     """
-    named = written(identities(docs, id_col, text_col, size, digest), "identities")
+    with scratch(docs.sparkSession, "names") as keep:
+        named = written(identities(docs, id_col, text_col, keep, size, digest), "identities")
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     best = written(
         named.groupBy("level", "name").agg(F.min(key).alias("best"), F.count(F.lit(1)).alias("group_size")), "groups"

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .store import written
+from .store import Keep, scratch, written
 from .words import mix, shingle_set, words_of
 
 N = 5
@@ -34,8 +34,8 @@ PERCENT = 80
 HOT = 1 << 17  # tokens known to every task, 1 MB; a token is one only if it makes up that part of all tokens
 MIN_HOT = 16
 RARE = 16  # sets; tokens of more are indexed in pairs
-RANGE_TOKENS = 6_000_000  # postings that one range should hold
-BATCH_TOKENS = 3_000_000  # tokens packed at a time
+RANGE_TOKENS = 2_500_000  # postings that one range should hold
+BATCH_TOKENS = 1_000_000  # tokens packed at a time
 STAR_ROUNDS = 3
 _KEY = 12  # bytes of a set's fingerprint
 _LOW = np.uint64((1 << 48) - 1)
@@ -102,7 +102,7 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
         return at, keys.tobytes(), both.tobytes(), np.ascontiguousarray(raw).tobytes()
 
     def blocks_of(place: np.ndarray, owner: np.ndarray, tokens: np.ndarray, keys: np.ndarray, sizes: np.ndarray):
-        order = np.argsort(place.astype(np.uint32), kind="stable")
+        order = np.argsort(place, kind="stable")
         place, owner, tokens = place[order], owner[order], tokens[order]
         edges = np.flatnonzero(np.diff(place, prepend=-1)).tolist() + [len(place)]
         for a, b in zip(edges, edges[1:]):
@@ -118,13 +118,13 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
                 continue
             keys = np.frombuffer(b"".join(once), np.uint8).reshape(-1, _KEY)
             sizes = np.array([len(s) for s in once.values()], np.int64)
-            tokens, owner = np.concatenate(list(once.values())), np.repeat(np.arange(len(sizes)), sizes)
+            tokens, owner = np.concatenate(list(once.values())), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
             known = np.zeros(len(tokens), bool)
             if len(hot):
                 at = np.searchsorted(hot, tokens)
                 known = hot[np.minimum(at, len(hot) - 1)] == tokens
             rest = ~known
-            place = (tokens >> shift).astype(np.int64)
+            place = (tokens >> shift).astype(np.int32)
             rows = list(blocks_of(place[rest], owner[rest], tokens[rest], keys, sizes))
             if known.any():
                 deal = keys[:, 0].astype(np.int64) | keys[:, 1].astype(np.int64) << 8
@@ -144,15 +144,18 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), np.uint8).reshape(-1, _KEY)
         both = np.frombuffer(b"".join(group["sizes"]), "<u4").reshape(-1, 2).astype(np.int64)
         raw = np.frombuffer(b"".join(group["tokens"]), np.uint8).reshape(-1, 8 if at >= ranges else 6)
+        del group
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, : raw.shape[1]] = raw
         tokens = wide.view("<u8").ravel()
+        del raw
         # each set once, though several batches may hold it
         _, first = np.unique(np.ascontiguousarray(keys).view(f"V{_KEY}").ravel(), return_index=True)
         keep = np.zeros(len(keys), bool)
         keep[first] = True
-        owner, wanted = np.repeat(np.arange(len(keys)), both[:, 1]), np.repeat(keep, both[:, 1])
+        owner, wanted = np.repeat(np.arange(len(keys), dtype=np.int32), both[:, 1]), np.repeat(keep, both[:, 1])
         owner, tokens = owner[wanted], tokens[wanted]
+        del wide, wanted
         if at >= ranges:
             many = np.full(len(tokens), _MOST, np.int64)
             tokens = ((tokens >> np.uint64(64 - bits)) << np.uint64(48)) | (tokens & _LOW)
@@ -268,47 +271,53 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return held.where(check("a_tokens", "b_tokens", "a_size", "b_size")).select("a", "b")
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(buckets: DataFrame, labels: DataFrame, keep: Keep) -> DataFrame:
     """Members of the buckets that still hold several components."""
     told = buckets.join(labels, buckets["set"] == labels["id"], "left").select(
         *buckets.columns, F.coalesce("component", "set").alias("component")
     )
-    told = written(told, "members")
+    told = keep(told, "members")
     mixed = told.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     return told.join(mixed.where("least < most").select("sig"), "sig")
 
 
-def _links(buckets: DataFrame, records: DataFrame, percent: int, rounds: int) -> DataFrame:
-    """Links (a, b) that join all sets which any chain of similar sets joins."""
-    spark = records.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
+def _labels(buckets: DataFrame, records: DataFrame, percent: int, rounds: int, keep: Keep) -> DataFrame:
+    """(id, component) of all sets that a chain of similar sets joins to another."""
+    labels = records.sparkSession.createDataFrame([], "id bigint, component bigint")
+
+    def joined(fresh: DataFrame) -> DataFrame:
+        # what is known so far goes in as stars, which settle at once
+        if fresh.isEmpty():
+            return labels
+        stars = labels.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return keep(components(stars.union(fresh), keep), "components")
+
     left = buckets.withColumn("component", F.col("set"))
     many = left.groupBy("sig").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("sig")
-    left = written(left.join(many, "sig"), "buckets")
+    left = keep(left.join(many, "sig"), "buckets")
     for _ in range(rounds):
         if left.isEmpty():
-            return links
+            return labels
         lead = left.groupBy("sig").agg(F.min(F.struct("set", "size", "shared", "component")).alias("lead"))
-        told = left.join(written(lead, "leaders"), "sig")
+        told = left.join(keep(lead, "leaders"), "sig")
         pairs = told.where(
             (F.col("set") > F.col("lead.set"))
             & (F.col("component") != F.col("lead.component"))
             & _may(F.col("size"), F.col("lead.size"), F.col("shared"), F.col("lead.shared"), percent)
         ).select(F.col("lead.set").alias("a"), F.col("set").alias("b"))
-        fresh = written(_verified(written(pairs.distinct(), "pairs"), records, percent), "links")
-        links = links.union(fresh)
-        labels = written(components(links), "components")
+        fresh = keep(_verified(keep(pairs.distinct(), "pairs"), records, percent), "links")
+        labels = joined(fresh)
         # a leader has met all others of its bucket
         rest = told.where(F.col("set") > F.col("lead.set")).select(*buckets.columns)
-        left = written(_labelled(rest, labels).select(*buckets.columns, "component"), "buckets")
+        left = keep(_labelled(rest, labels, keep).select(*buckets.columns, "component"), "buckets")
     a, b = left.alias("a"), left.alias("b")
     pairs = a.join(b, "sig").where(
         (F.col("a.set") < F.col("b.set"))
         & (F.col("a.component") != F.col("b.component"))
         & _may(F.col("a.size"), F.col("b.size"), F.col("a.shared"), F.col("b.shared"), percent)
     )
-    pairs = written(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct(), "pairs")
-    return links.union(written(_verified(pairs, records, percent), "links"))
+    pairs = keep(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct(), "pairs")
+    return joined(keep(_verified(pairs, records, percent), "links"))
 
 
 def groups(
@@ -327,32 +336,33 @@ def groups(
     # ids travel as text, since pandas turns whole numbers with NULLs into floats
     kind = docs.schema[id_col].dataType
     rows = survey.where("key is not null").select(F.col("id").cast(kind).alias("id"), "size", "key")
-    sets = rows.where("size > 0").groupBy("key", "size").agg(F.min("id").alias("least"))
-    sets = written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
-    total = sets.agg(F.sum("size")).first()[0] or 0
-    common = survey.where("token is not null").groupBy("token").agg(F.sum("sets").alias("sets"))
-    # at most ``hot`` tokens can make up that part of all tokens each
-    often = common.where(F.col("sets") >= max(MIN_HOT, total // hot + 1)).select("token")
-    known = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-    bits = min(16, max(4, (total // range_tokens).bit_length()))
-
-    answers = _shared(_postings(texts, n, bits, known), bits)
-    per_set = answers.groupBy("key", "size").agg(
-        F.sum(F.octet_length("sets") / 2).cast("bigint").alias("shared"),
-        F.collect_list("tokens").alias("tokens"),
-        F.collect_list("sets").alias("sets"),
-    )
-    alive = per_set.where(F.lit(100) * F.col("shared") >= percent * F.col("size"))
-    records = written(alive.join(sets.select("key", "set"), "key").drop("key"), "records")
-    links = _links(written(_buckets(records, percent, rare), "signatures"), records, percent, rounds)
-    labels = written(components(links), "components")
+    with scratch(docs.sparkSession, "jaccard") as keep:
+        sets = rows.where("size > 0").groupBy("key", "size").agg(F.min("id").alias("least"))
+        sets = keep(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
+        total = sets.agg(F.sum("size")).first()[0] or 0
+        common = survey.where("token is not null").groupBy("token").agg(F.sum("sets").alias("sets"))
+        # at most ``hot`` tokens can make up that part of all tokens each
+        often = common.where(F.col("sets") >= max(MIN_HOT, total // hot + 1)).select("token")
+        known = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
+        bits = min(16, max(4, (total // range_tokens).bit_length()))
+
+        answers = _shared(_postings(texts, n, bits, known), bits)
+        per_set = answers.groupBy("key", "size").agg(
+            F.sum(F.octet_length("sets") / 2).cast("bigint").alias("shared"),
+            F.collect_list("tokens").alias("tokens"),
+            F.collect_list("sets").alias("sets"),
+        )
+        alive = per_set.where(F.lit(100) * F.col("shared") >= percent * F.col("size"))
+        records = keep(alive.join(sets.select("key", "set"), "key").drop("key"), "records")
+        buckets = keep(_buckets(records, percent, rare), "signatures")
+        labels = _labels(buckets, records, percent, rounds, keep)
 
-    named = sets.join(labels, sets["set"] == labels["id"], "left").select(
-        "key", "least", F.coalesce("component", "set").alias("component")
-    )
-    named = written(named, "named")
-    least = written(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    told = written(named.join(least, "component").select("key", "component_id"), "told")
+        named = sets.join(labels, sets["set"] == labels["id"], "left").select(
+            "key", "least", F.coalesce("component", "set").alias("component")
+        )
+        named = keep(named, "named")
+        least = keep(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
+        told = written(named.join(least, "component").select("key", "component_id"), "components")
     return rows.join(told, "key", "left").select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),

@@ -69,9 +69,39 @@ QUERIES: dict[str, Runner] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * i >= 80 * (nx.n + ny.n - i)),
+        r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT x, c FROM r JOIN l ON y = r.doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id
+        FROM (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(text) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY text)""",
+    "op10_chat_format": """
+        WITH c AS (
+          SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (
+          SELECT *, replace(replace(replace(replace(replace(text, '~', '~0'), '</s>', '~1'), '[/INST]', '~2'), '[INST]', '~3'), '<s>', '~4') AS told,
+                 row_number() OVER same - 1 AS k, coalesce(lag(role) OVER same, 'start') AS state, count(*) OVER (PARTITION BY conv_id) AS n
+          FROM c WINDOW same AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+        f AS (
+          SELECT *, CASE WHEN state || '>' || role NOT IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') THEN k
+                         WHEN k = n - 1 AND role <> 'assistant' THEN n END AS bad FROM e)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<s>[INST]  [/INST]</s>') + length(role) + length(told)) AS BIGINT) AS formatted_chars,
+               min(bad) IS NULL AS valid, CAST(min(bad) AS INTEGER) AS bad_turn
+        FROM f GROUP BY conv_id""",
 }

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.session import materialise
+from tallywork.session import shared_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 @contextmanager
 def _tidy_shuffles(spark: SparkSession):
@@ -25,7 +29,26 @@ def _tidy_shuffles(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    with _tidy_shuffles(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table once and read it back, so that later jobs neither repeat nor depend on its lineage."""
-    with _tidy_shuffles(df.sparkSession):
-        return materialise(df, purpose)
+    return _store(df, shared_dir(df.sparkSession, purpose))
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[Keep]:
+    """Gives a function like ``written`` whose tables are deleted at the end of the block.
+
+    What leaves the block must have been written elsewhere by then.
+    """
+    base, number = shared_dir(spark, purpose), count()
+    try:
+        yield lambda df, name: _store(df, f"{base}/{next(number)}-{name}")
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

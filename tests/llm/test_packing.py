@@ -38,7 +38,7 @@ def check_pieces(pieces, texts, window=packing.WINDOW):
     return sizes
 
 
-@pytest.mark.parametrize("shard_tokens", [1 << 19, 4000])
+@pytest.mark.parametrize("shard_tokens", [1 << 18, 4000])
 def test_every_token_once(spark, shard_tokens):
     rng = random.Random(2)
     texts = [" ".join(words(rng, rng.randrange(0, 300))) for _ in range(60)] + [None, "", "<|endoftext|>", " ".join(words(rng, 9000))]
