@@ -105,16 +105,24 @@ def by_customer(shop: Shop, attribute: str) -> DataFrame:
 
 def kpis(shop: Shop) -> DataFrame:
     """Revenue, orders, buyers, order value, frequency, repeat share and gross margin in one row."""
-    buyers = customer_totals(shop)
+    # both halves start from one frame, so lines and orders are read and shuffled once
+    sums = shop.order_items.groupBy("order_id", "product_id").agg(
+        F.sum("cents").alias("cents"), F.sum("quantity").alias("units")
+    )
+    base = sums.join(shop.completed_orders().select("order_id", "customer_id"), "order_id")
+    buyers = (
+        base.groupBy("order_id", "customer_id")
+        .agg(F.sum("cents").alias("cents"))
+        .groupBy("customer_id")
+        .agg(cents_to_money(F.sum("cents")).alias("total_spend"), F.count("*").alias("n_orders"))
+    )
     head = buyers.agg(
         F.sum("total_spend").alias("gmv"),
         F.sum("n_orders").alias("orders"),
         F.count("*").alias("buyers"),
         F.count_if(F.col("n_orders") >= 2).alias("repeat_buyers"),
     )
-    sold = sales_lines(shop).groupBy("product_id").agg(
-        F.sum("quantity").alias("units"), F.sum("amount").alias("revenue")
-    )
+    sold = base.groupBy("product_id").agg(F.sum("units").alias("units"))
     costs = sold.join(shop.products.select("product_id", "price", "cost"), "product_id").agg(
         F.sum(F.col("units") * F.col("price").cast("double")).alias("at_price"),
         F.sum(F.col("units") * F.col("cost").cast("double")).alias("at_cost"),
