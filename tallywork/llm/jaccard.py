@@ -11,9 +11,9 @@ within a group; a group with c of them counts for c - 1 towards the prefix, whic
 2. Postings go to hash ranges as packed blocks, one per range and batch. A range counts each token's sets and
    answers with the tokens that several sets share. Sets with too few shared tokens can have no partner.
 3. Prefix signatures of the remaining sets form buckets. In a bucket, members are verified against its leader,
-   verified links are contracted to components, and this is repeated with new leaders. Pairs that then still
-   lie in different components are verified one by one. Nothing is left out: every candidate pair is verified
-   or lies within one component already.
+   and verified links are contracted to components. Buckets that still hold several components form clusters,
+   in which the sets outside the largest component are compared with all others, block by block. Nothing is
+   left out: every candidate pair is verified or lies within one component already.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ MIN_HOT = 16
 RARE = 16  # sets; tokens of more are indexed in pairs
 RANGE_TOKENS = 2_500_000  # postings that one range should hold
 BATCH_TOKENS = 1_000_000  # tokens packed at a time
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
+BLOCK = 512  # sets compared with as many others at a time
+COLUMNS = 4096  # tokens looked at together when blocks are compared
 _KEY = 12  # bytes of a set's fingerprint
 _LOW = np.uint64((1 << 48) - 1)
 _MOST = 65535
@@ -136,7 +138,8 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
 
 
 def _shared(postings: DataFrame, bits: int) -> DataFrame:
-    """(key, size, tokens, sets): for each set and range, the tokens it shares and the number of sets of each."""
+    """Blocks (bundle, keys, sizes, tokens, sets): for the sets of a bundle, the tokens that each shares in one
+    range and the number of sets of each token. Sets are dealt to bundles by their key."""
     ranges = 1 << bits
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
@@ -167,20 +170,51 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
             many = np.repeat(runs, runs)
             more = many > 1
             tokens, owner, many = tokens[more] | np.uint64(at << 48), owner[more], many[more]
-            order = np.argsort(owner, kind="stable")
-            tokens, owner, many = tokens[order], owner[order], many[order]
-        starts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()
-        ends = [*starts[1:], len(owner)]
-        told, sets = tokens.astype("<u8").tobytes(), np.minimum(many, _MOST).astype("<u2").tobytes()
-        who = owner[starts]
+        bundle = ((keys[:, 0].astype(np.int64) | keys[:, 1].astype(np.int64) << 8) % ranges)[owner]
+        order = np.lexsort((owner, bundle))
+        tokens, owner, many, bundle = tokens[order], owner[order], many[order], bundle[order]
+        many = np.minimum(many, _MOST).astype("<u2")
+        edges = np.flatnonzero(np.diff(bundle, prepend=-1)).tolist() + [len(bundle)]
+        rows = []
+        for a, b in zip(edges, edges[1:]):
+            mine = owner[a:b]
+            starts = np.flatnonzero(np.diff(mine, prepend=-1))
+            who = mine[starts]
+            counts = np.stack([both[who, 0], np.diff(starts, append=b - a)], axis=1).astype("<u4")
+            told = keys[who].tobytes(), counts.tobytes(), tokens[a:b].astype("<u8").tobytes(), many[a:b].tobytes()
+            rows.append((int(bundle[a]), *told))
+        return pd.DataFrame(rows, columns=["bundle", "keys", "sizes", "tokens", "sets"])
+
+    return postings.groupBy("range").applyInPandas(count, "bundle int, keys binary, sizes binary, tokens binary, sets binary")
+
+
+def _alive(answers: DataFrame, percent: int) -> DataFrame:
+    """(key, size, shared, tokens, sets) of the sets that share enough tokens to be similar to another one."""
+
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        keys = np.frombuffer(b"".join(group["keys"]), np.uint8).reshape(-1, _KEY)
+        both = np.frombuffer(b"".join(group["sizes"]), "<u4").reshape(-1, 2).astype(np.int64)
+        tokens = np.frombuffer(b"".join(group["tokens"]), "<u8")
+        sets = np.frombuffer(b"".join(group["sets"]), "<u2")
+        _, first, place = np.unique(keys.view(f"V{_KEY}").ravel(), return_index=True, return_inverse=True)
+        owner = np.repeat(place, both[:, 1])
+        size, shared = both[first, 0], np.bincount(owner, minlength=len(first))
+        alive = 100 * shared >= percent * size
+        wanted = alive[owner]
+        owner, tokens, sets = owner[wanted], tokens[wanted], sets[wanted]
+        order = np.argsort(owner, kind="stable")
+        tokens, sets = tokens[order], sets[order]
+        who = np.flatnonzero(alive)
+        ends = np.cumsum(shared[who])
         return pd.DataFrame({
-            "key": [keys[w].tobytes() for w in who],
-            "size": both[who, 0],
-            "tokens": [told[8 * a : 8 * b] for a, b in zip(starts, ends)],
-            "sets": [sets[2 * a : 2 * b] for a, b in zip(starts, ends)],
+            "key": [keys[first[w]].tobytes() for w in who],
+            "size": size[who],
+            "shared": shared[who],
+            "tokens": [tokens[b - n : b].tobytes() for b, n in zip(ends, shared[who])],
+            "sets": [sets[b - n : b].tobytes() for b, n in zip(ends, shared[who])],
         })
 
-    return postings.groupBy("range").applyInPandas(count, "key binary, size bigint, tokens binary, sets binary")
+    return answers.groupBy("bundle").applyInPandas(gather, "key binary, size bigint, shared bigint, tokens binary, sets binary")
 
 
 def level_of(n: int) -> int:
@@ -225,8 +259,8 @@ def _buckets(records: DataFrame, percent: int, rare: int) -> DataFrame:
         for batch in batches:
             held, size = [], 0
             for row in batch.itertuples(index=False):
-                tokens = np.frombuffer(b"".join(row.tokens), "<u8")
-                sets = np.frombuffer(b"".join(row.sets), "<u2")
+                tokens = np.frombuffer(row.tokens, "<u8")
+                sets = np.frombuffer(row.sets, "<u2")
                 held.append((row.set, row.size, row.shared, signatures(row.size, tokens, sets, percent, rare)))
                 size += len(held[-1][3])
                 if size >= 200_000:
@@ -255,7 +289,7 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     @F.pandas_udf("boolean")
     def check(a: pd.Series, b: pd.Series, a_size: pd.Series, b_size: pd.Series) -> pd.Series:
         def one(x, y, m, n):
-            x, y = np.frombuffer(b"".join(x), "<u8"), np.frombuffer(b"".join(y), "<u8")
+            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
             both = np.concatenate([x, y])
             both.sort()
             return similar(int(np.count_nonzero(both[1:] == both[:-1])), m, n, percent)
@@ -310,14 +344,67 @@ def _labels(buckets: DataFrame, records: DataFrame, percent: int, rounds: int, k
         # a leader has met all others of its bucket
         rest = told.where(F.col("set") > F.col("lead.set")).select(*buckets.columns)
         left = keep(_labelled(rest, labels, keep).select(*buckets.columns, "component"), "buckets")
-    a, b = left.alias("a"), left.alias("b")
-    pairs = a.join(b, "sig").where(
-        (F.col("a.set") < F.col("b.set"))
-        & (F.col("a.component") != F.col("b.component"))
-        & _may(F.col("a.size"), F.col("b.size"), F.col("a.shared"), F.col("b.shared"), percent)
+    return labels if left.isEmpty() else joined(keep(_settled(left, records, percent, keep), "links"))
+
+
+def _settled(left: DataFrame, records: DataFrame, percent: int, keep: Keep) -> DataFrame:
+    """Links between the components that still meet in a bucket, all pairs of them looked at.
+
+    Buckets with members in common form a cluster. Only pairs outside the cluster's largest component matter:
+    its other members are cut into blocks of BLOCK sets, and each block meets every block of the cluster. Two
+    blocks are compared as a whole by a product of 0/1 matrices, and no more links than sets come out.
+    """
+    lead = left.groupBy("sig").agg(F.min("set").alias("a"))
+    clusters = components(left.join(lead, "sig").select("a", F.col("set").alias("b")).distinct(), keep)
+    members = left.select("set", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), F.col("set") == F.col("id"))
+    members = keep(members.select("set", F.col("component").alias("part"), "cluster"), "clusters")
+    sizes = members.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("n"))
+    totals = keep(
+        sizes.groupBy("cluster").agg(F.max(F.struct("n", "part")).alias("major"), F.sum("n").alias("n")).select(
+            "cluster", F.col("major.part").alias("major"),
+            F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("minor_blocks"),
+            F.ceil(F.col("major.n") / BLOCK).cast("int").alias("major_blocks"),
+        ),
+        "cluster-sizes",
+    )
+    deal = lambda n: F.pmod(F.xxhash64("set"), F.col(n)).cast("int")
+    minor = F.col("part") != F.col("major")
+    placed = members.join(totals, "cluster").withColumn(
+        "block", F.when(minor, deal("minor_blocks")).otherwise(F.col("minor_blocks") + deal("major_blocks"))
     )
-    pairs = keep(pairs.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct(), "pairs")
-    return joined(keep(_verified(pairs, records, percent), "links"))
+    last = F.when(minor, F.col("minor_blocks") + F.col("major_blocks")).otherwise(F.col("minor_blocks")) - 1
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
+        "cluster", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "set", "part"
+    )
+    told = met.join(records.select("set", "size", "tokens"), "set")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        sets, size = group["set"].to_numpy(np.int64), group["size"].to_numpy(np.int64)
+        tokens = [np.frombuffer(t, "<u8") for t in group["tokens"]]
+        flat = np.concatenate(tokens)
+        owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        column = np.cumsum(np.diff(flat, prepend=flat[:1]) != 0)
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        for low in range(0, int(column[-1]) + 1, COLUMNS):
+            a, b = np.searchsorted(column, (low, low + COLUMNS))
+            has = np.zeros((len(sets), COLUMNS), np.float32)
+            has[owner[a:b], column[a:b] - low] = 1
+            common += has @ has.T
+        near = 100 * common >= percent * (size[:, None] + size[None, :] - common)
+        # sets of one component are joined already
+        _, label = np.unique(group["part"].to_numpy(np.int64), return_inverse=True)
+        near |= label[:, None] == label[None, :]
+        label = np.arange(len(sets))
+        while True:
+            least = np.where(near, label[None, :], len(sets)).min(axis=1)
+            if (least == label).all():
+                break
+            label = least
+        return pd.DataFrame({"a": sets[label], "b": sets})[label != np.arange(len(sets))]
+
+    return told.groupBy("cluster", "x", "y").applyInPandas(compare, "a bigint, b bigint")
 
 
 def groups(
@@ -346,13 +433,7 @@ def groups(
         known = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
         bits = min(16, max(4, (total // range_tokens).bit_length()))
 
-        answers = _shared(_postings(texts, n, bits, known), bits)
-        per_set = answers.groupBy("key", "size").agg(
-            F.sum(F.octet_length("sets") / 2).cast("bigint").alias("shared"),
-            F.collect_list("tokens").alias("tokens"),
-            F.collect_list("sets").alias("sets"),
-        )
-        alive = per_set.where(F.lit(100) * F.col("shared") >= percent * F.col("size"))
+        alive = _alive(_shared(_postings(texts, n, bits, known), bits), percent)
         records = keep(alive.join(sets.select("key", "set"), "key").drop("key"), "records")
         buckets = keep(_buckets(records, percent, rare), "signatures")
         labels = _labels(buckets, records, percent, rounds, keep)

@@ -42,10 +42,12 @@ def told(df):
     return sorted((tuple(r) for r in df.select("doc_id", "n_shingles", "component_id").collect()), key=str)
 
 
-@pytest.mark.parametrize("options", [{}, {"hot": 3000, "rare": 3}, {"rare": 1, "rounds": 0, "range_tokens": 500}, {"rounds": 1}])
+@pytest.mark.parametrize("options", [{}, {"hot": 3000, "rare": 3}, {"rare": 1, "rounds": 0, "range_tokens": 500}, {"rounds": 2}])
 def test_same_as_all_pairs(spark, options, monkeypatch):
     monkeypatch.setattr(jaccard, "MIN_HOT", 4)
     monkeypatch.setattr(jaccard, "BATCH_TOKENS", 700)
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    monkeypatch.setattr(jaccard, "COLUMNS", 64)
     rows = corpus()
     want = brute(rows)
     assert len({c for _, _, c in want}) < len(rows) - 60
