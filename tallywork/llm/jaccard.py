@@ -67,7 +67,8 @@ def _sets(batches: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[list, list[
             if size >= BATCH_TOKENS:
                 yield ids, sets, keys
                 ids, sets, keys, size = [], [], [], 0
-    yield ids, sets, keys
+    if ids:  # Arrow cannot tell the kind of an empty column of text
+        yield ids, sets, keys
 
 
 def _survey(texts: DataFrame, n: int) -> DataFrame:
