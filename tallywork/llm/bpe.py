@@ -78,13 +78,15 @@ class WordBpe:
     def _pack_chunk(self, chunk: str) -> bytes:
         if chunk in self.special:
             return array("H", [self.special[chunk]]).tobytes()
+        return b"".join(map(self.piece.__getitem__, self.pieces_of(chunk)))
+
+    def pieces_of(self, chunk: str) -> list[str]:
+        """The parts of a chunk that are merged on their own."""
         if not chunk.isascii():
             # each letter on its own: no final form of sigma
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         plain = chunk.lower()
-        if plain.isalpha():
-            return self.piece[plain]
-        return b"".join(map(self.piece.__getitem__, self.pieces.findall(plain)))
+        return [plain] if plain.isalpha() else self.pieces.findall(plain)
 
     def _tell_chunk(self, chunk: str) -> tuple[str, str]:
         ids = array("H", self._pack_chunk(chunk))

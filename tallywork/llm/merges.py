@@ -20,15 +20,18 @@ class Memo(dict):
         self.old: dict = {}
 
     def __missing__(self, key):
-        if len(self) >= self.room:
-            self.old = dict(self)
-            self.clear()
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        self.put(key, value)
         return value
 
+    def put(self, key, value) -> None:
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
 
 def once_per_worker(key: tuple, make: Callable):
     """What ``make`` gives, built once in a Python process: Spark reuses its workers from task to task."""

@@ -8,50 +8,46 @@ cut and its rest opens the next window, so only the last window of a shard is no
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import encoder, read_vocabulary
+from .batch_bpe import BatchBpe
+from .bpe import WordBpe, read_vocabulary
+from .merges import once_per_worker
 from .store import written
 
 WINDOW = 2048
 END = 1
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 18
 K1, B = 1.2, 0.75
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END) -> DataFrame:
-    """(doc_id, doc_tokens, ids): ids as little-endian unsigned 16-bit numbers, the end id included."""
+    """Rows (doc_id as text, doc_tokens, ids) of all texts, and rows (term, docs): in how many texts of a task
+    each id occurs. The ids are unsigned 16-bit numbers, the end id included."""
     data = read_vocabulary(path)
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = encoder(data)
-        if max(bpe.words) > 0xFFFF:
-            raise ValueError("ids of this vocabulary need more than 16 bits")
-        for batch in batches:
-            yield pd.Series([np.array([*bpe.encode(t), end], "<u2").tobytes() for t in batch], dtype=object)
-
-    made = docs.select(F.col(f"`{id_col}`").alias("doc_id"), run(F.col(f"`{text_col}`")).alias("ids"))
-    return made.select("doc_id", (F.octet_length("ids") / 2).cast("bigint").alias("doc_tokens"), "ids")
-
-
-def term_counts(encoded: DataFrame) -> DataFrame:
-    """(term, docs): in how many texts each id occurs; no more rows than the vocabulary has."""
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bpe = once_per_worker(("batch_bpe", len(data), zlib.crc32(data)), lambda: BatchBpe(WordBpe(data)))
+        last = np.array([end], np.uint16).tobytes()
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                counts[np.unique(np.frombuffer(ids, "<u2"))] += 1
+            ids = [made + last for made in bpe.packed(batch["text"].tolist())]
+            for text in ids:
+                counts[np.unique(np.frombuffer(text, np.uint16))] += 1
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "doc_tokens": [len(x) // 2 for x in ids], "ids": ids, "term": None, "docs": None,
+            })
         terms = np.flatnonzero(counts)
-        yield pd.DataFrame({"term": terms, "docs": counts[terms]})
+        yield pd.DataFrame({"doc_id": None, "doc_tokens": None, "ids": None, "term": terms, "docs": counts[terms]})
 
-    parts = encoded.select("ids").mapInPandas(run, "term bigint, docs bigint")
-    return parts.groupBy("term").agg(F.sum("docs").alias("docs"))
+    # ids travel as text, since pandas turns whole numbers with NULLs into floats
+    plain = docs.select(F.col(f"`{id_col}`").cast("string").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return plain.mapInPandas(run, "doc_id string, doc_tokens bigint, ids binary, term int, docs bigint")
 
 
 class Index:
@@ -123,11 +119,13 @@ def pack(
     shard is still one row, so it is the most that a task holds beyond a shard. Only document frequencies,
     one number per entry of the vocabulary, and two totals reach the driver.
     """
-    encoded = written(encode(docs, id_col, text_col, path, end), "encoded")
+    made = written(encode(docs, id_col, text_col, path, end), "encoded")
+    encoded = made.where("ids is not null").select("doc_id", "doc_tokens", "ids")
     total = encoded.agg(F.count(F.lit(1)).alias("n"), F.sum("doc_tokens").alias("tokens")).first()
     n, tokens = total["n"], total["tokens"] or 0
     found = np.zeros(1 << 16)
-    for row in term_counts(encoded).collect():
+    # no more rows than the vocabulary has entries
+    for row in made.where("term is not null").groupBy("term").agg(F.sum("docs").alias("docs")).collect():
         found[row["term"]] = row["docs"]
     idf = np.log1p((n - found + 0.5) / (found + 0.5)).astype(np.float32)
     mean = tokens / max(n, 1)
@@ -135,7 +133,7 @@ def pack(
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "ids"], kind="stable")
-        texts = [np.frombuffer(b, "<u2") for b in group["ids"]]
+        texts = [np.frombuffer(b, np.uint16) for b in group["ids"]]
         shard, ids = int(group["shard"].iloc[0]), group["doc_id"].tolist()
         rows = [
             (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
@@ -143,16 +141,12 @@ def pack(
         ]
         return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    # ids travel as text, since pandas turns whole numbers with NULLs into floats
-    dealt = encoded.select(
-        F.col("doc_id").cast("string").alias("doc_id"), "ids",
-        F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).alias("shard"),
-    )
-    made = dealt.groupBy("shard").applyInPandas(
+    dealt = encoded.select("doc_id", "ids", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).alias("shard"))
+    pieces = dealt.groupBy("shard").applyInPandas(
         run, "doc_id string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
     )
     kind = docs.schema[id_col].dataType
-    return made.withColumn("doc_id", F.col("doc_id").cast(kind)).withColumnRenamed("doc_id", id_col)
+    return pieces.withColumn("doc_id", F.col("doc_id").cast(kind)).withColumnRenamed("doc_id", id_col)
 
 
 def digests(pieces: DataFrame) -> DataFrame:

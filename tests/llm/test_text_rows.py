@@ -48,6 +48,18 @@ def test_bpe_equals_the_library(library):
         assert own.strings(text) == (" ".join(map(str, ids)), own.decode(ids))
 
 
+def test_batches_give_the_same_ids(monkeypatch):
+    from tallywork.llm import batch_bpe
+
+    own = bpe.WordBpe(bpe.read_vocabulary())
+    texts = [*odd_texts(600, 8), None, "a" * 3000, "ab" * 2000 + "!" * 500, "é" * 60, *(t for _, t in corpus(2))]
+    want = [own.packed(t) for t in texts]
+    assert batch_bpe.BatchBpe(own).packed(texts) == want
+    monkeypatch.setattr(batch_bpe, "TEXTS", 7)
+    monkeypatch.setattr(batch_bpe, "WIDE", 5)
+    assert batch_bpe.BatchBpe(own, room=50).packed(texts) == want and batch_bpe.BatchBpe(own).packed([]) == []
+
+
 def test_bpe_rows(spark, library):
     rows = [(i, t) for i, t in enumerate([None, *ODD])] + [(3, "again"), (3, "again"), (None, "no id")]
     got = bpe.round_trip(table(spark, rows)).collect()
