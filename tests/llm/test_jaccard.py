@@ -110,3 +110,13 @@ def test_words_do_not_depend_on_blocks(monkeypatch):
     monkeypatch.setattr(w, "BLOCK", 64)
     assert [h.tolist() for h, _ in w.words_of(texts)] == whole
     assert [c.tolist() for _, c in w.words_of(["né oui\tx"])] == [[2, 3, 1]]
+
+
+def test_no_empty_batch_of_sets(monkeypatch):
+    import pandas as pd
+
+    texts = pd.DataFrame({"id": ["1", "2", "3"], "text": ["a b c d e f", None, "g h"]})
+    monkeypatch.setattr(jaccard, "BATCH_TOKENS", 1)
+    made = list(jaccard._sets(iter([texts]), 5))
+    assert [ids for ids, _, _ in made] == [["1"], ["2", "3"]] and [len(s) for _, s, _ in made] == [1, 2]
+    assert list(jaccard._sets(iter([]), 5)) == []
