@@ -18,7 +18,7 @@ _NONE = np.uint32(0xFFFFFFFF)
 
 
 class BatchBpe:
-    def __init__(self, bpe: WordBpe, room: int = 500_000):
+    def __init__(self, bpe: WordBpe, room: int = 250_000):
         self.bpe = bpe
         self.chunk = Memo(bpe._pack_chunk, room)
         self.inner, self.last = np.array(bpe.inner, np.uint32), np.array(bpe.last, np.uint32)
