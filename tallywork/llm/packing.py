@@ -1,7 +1,8 @@
 """Packing texts into windows of fixed size with lexical neighbours side by side.
 
-Texts are dealt to shards of a bounded number of tokens. A shard has a BM25 inverted index over its texts,
-weighted with the document frequencies of the whole corpus. The next unused text seeds a window; the index
+Texts are put in an order by content (``content_order.py``), which is cut into shards of about equal tokens, so
+the neighbours of a text mostly lie in its shard however many shards there are. A shard has a BM25 inverted
+index over its texts, weighted with the document frequencies of the whole corpus. The next unused text seeds a window; the index
 returns the unused texts nearest to it, which fill the window in that order. The text that no longer fits is
 cut and its rest opens the next window, so only the last window of a shard is not full.
 """
@@ -15,6 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from . import content_order
 from .batch_bpe import BatchBpe
 from .bpe import WordBpe, read_vocabulary
 from .merges import once_per_worker
@@ -24,6 +26,8 @@ WINDOW = 2048
 END = 1
 SHARD_TOKENS = 1 << 18
 K1, B = 1.2, 0.75
+RANGES = 1 << 11  # ranges of the order that are cut from the driver; each cuts its own shards
+SAMPLE = 1 << 15  # texts that the order is learnt from
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END) -> DataFrame:
@@ -50,6 +54,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     return plain.mapInPandas(run, "doc_id string, doc_tokens bigint, ids binary, term int, docs bigint")
 
 
+def bm25(ids: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of a text and their BM25 weights in it."""
+    own, tf = np.unique(ids, return_counts=True)
+    return own, idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+
+
 class Index:
     """BM25 over the texts of one shard."""
 
@@ -57,11 +67,11 @@ class Index:
         self.terms = []
         terms, owners, weights = [], [], []
         for i, ids in enumerate(texts):
-            own, tf = np.unique(ids, return_counts=True)
+            own, weight = bm25(ids, idf, mean)
             self.terms.append(own)
             terms.append(own)
             owners.append(np.full(len(own), i, np.int32))
-            weights.append(idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean)))
+            weights.append(weight)
         flat = np.concatenate(terms)
         order = np.argsort(flat, kind="stable")
         self.owners, self.weights = np.concatenate(owners)[order], np.concatenate(weights)[order]
@@ -107,6 +117,62 @@ def fill(texts: list[np.ndarray], index: Index, window: int = WINDOW) -> list[tu
         sequence += 1
 
 
+def _sketches(ids: list[bytes], idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    made = [bm25(np.frombuffer(b, np.uint16), idf, mean) for b in ids]
+    projection = once_per_worker("signs", content_order.signs)
+    return content_order.sketches([m[0] for m in made], [m[1] for m in made], projection)
+
+
+def _keys(tree: content_order.Tree, vectors: np.ndarray, least: np.ndarray, group: pd.DataFrame) -> np.ndarray:
+    # a run of one leaf and term is told apart by hash, and equal rows by their place
+    return np.stack([tree.leaves(vectors), least, group["salt"].to_numpy(np.int64), group["row"].to_numpy(np.int64)])
+
+
+def _ranges(encoded: DataFrame, n: int, parts: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """``encoded`` with a column ``range``: ``parts`` ranges of the order by content, of about equal tokens.
+
+    The order is learnt from at most about SAMPLE texts, of which 64 numbers each reach the driver.
+    """
+    share = min(1 << 20, (SAMPLE << 20) // n)
+
+    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                vectors, least = _sketches(batch["ids"].tolist(), idf, mean)
+                tokens = batch["ids"].str.len() // 2
+                yield pd.DataFrame({
+                    "salt": batch["salt"], "row": batch["row"], "least": least, "tokens": tokens, "vector": [v.tobytes() for v in vectors],
+                })
+
+    picked = encoded.where(F.pmod(F.xxhash64(F.lit("pick"), "salt", "row"), F.lit(1 << 20)) < share)
+    seen = picked.mapInPandas(sketch, "salt bigint, row bigint, least bigint, tokens bigint, vector binary").toPandas()
+    seen = seen.sort_values(["salt", "row"], kind="stable")
+    vectors = np.frombuffer(b"".join(seen["vector"]), np.float32).reshape(-1, content_order.DIM)
+    tokens = seen["tokens"].to_numpy(np.int64)
+    tree = content_order.grow(vectors, tokens, tokens.sum() / parts / 4)
+    cuts = content_order.cut(tree, _keys(tree, vectors, seen["least"].to_numpy(np.int64), seen), tokens, parts)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                keys = _keys(tree, *_sketches(batch["ids"].tolist(), idf, mean), batch)
+                yield batch.assign(range=content_order.place(keys, cuts))
+
+    return encoded.mapInPandas(deal, "doc_id string, ids binary, salt bigint, row bigint, range bigint")
+
+
+def _shards(group: pd.DataFrame, shard_tokens: int, idf: np.ndarray, mean: float) -> np.ndarray:
+    """Shard of each text of a range, by the same kind of order over all its texts."""
+    tokens = (group["ids"].str.len() // 2).to_numpy(np.int64)
+    parts = max(1, round(int(tokens.sum()) / shard_tokens))
+    if parts == 1:
+        return np.zeros(len(group), np.int64)
+    vectors, least = _sketches(group["ids"].tolist(), idf, mean)
+    tree = content_order.grow(vectors, tokens, shard_tokens / 4)
+    keys = _keys(tree, vectors, least, group)
+    return content_order.place(keys, content_order.cut(tree, keys, tokens, parts))
+
+
 def pack(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END,
     window: int = WINDOW, shard_tokens: int = SHARD_TOKENS,
@@ -116,8 +182,9 @@ def pack(
     ``ids`` are the ids of the piece as little-endian unsigned 32-bit numbers. Every id of every text lies in
     exactly one piece; a sequence has no gaps. NULL and empty texts consist of the end id. Rows with equal or
     NULL ids are packed like any others. The number of shards grows with the tokens; a text longer than a
-    shard is still one row, so it is the most that a task holds beyond a shard. Only document frequencies,
-    one number per entry of the vocabulary, and two totals reach the driver.
+    shard is still one row. A task holds one range, a shard or (beyond RANGES shards) the shards of a part of the
+    order. Document frequencies, one number per entry of the vocabulary, two totals, and the vectors of at most
+    about SAMPLE texts reach the driver.
     """
     made = written(encode(docs, id_col, text_col, path, end), "encoded")
     encoded = made.where("ids is not null").select("doc_id", "doc_tokens", "ids")
@@ -132,17 +199,25 @@ def pack(
     shards = max(1, -(-tokens // shard_tokens))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "ids"], kind="stable")
-        texts = [np.frombuffer(b, np.uint16) for b in group["ids"]]
-        shard, ids = int(group["shard"].iloc[0]), group["doc_id"].tolist()
-        rows = [
-            (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
-            for t, start, length, seq, offset in fill(texts, Index(texts, idf, mean), window)
-        ]
+        group = group.sort_values(["doc_id", "ids"], kind="stable").reset_index(drop=True)
+        rows = []
+        for k, part in group.groupby(_shards(group, shard_tokens, idf, mean)):
+            texts = [np.frombuffer(b, np.uint16) for b in part["ids"]]
+            shard, ids = (int(group["range"].iloc[0]) << 20) + int(k), part["doc_id"].tolist()
+            rows += [
+                (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
+                for t, start, length, seq, offset in fill(texts, Index(texts, idf, mean), window)
+            ]
         return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    dealt = encoded.select("doc_id", "ids", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).alias("shard"))
-    pieces = dealt.groupBy("shard").applyInPandas(
+    dealt = encoded.select(
+        "doc_id", "ids", F.xxhash64("doc_id", "ids").alias("salt"), F.monotonically_increasing_id().alias("row")
+    )
+    if shards == 1:
+        dealt = dealt.withColumn("range", F.lit(0))
+    else:
+        dealt = _ranges(dealt, n, min(shards, RANGES), idf, mean)
+    pieces = dealt.groupBy("range").applyInPandas(
         run, "doc_id string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
     )
     kind = docs.schema[id_col].dataType

@@ -61,6 +61,41 @@ def test_neighbours_share_windows(spark):
     assert same > 0.6
 
 
+@pytest.mark.parametrize("ranges", [1 << 11, 5])
+def test_shards_hold_the_neighbours(spark, monkeypatch, ranges):
+    """The nearest texts by brute-force BM25 over all texts lie in the seed's shard, copies among them."""
+    monkeypatch.setattr(packing, "RANGES", ranges, raising=False)
+    rng = random.Random(9)
+    common = words(rng, 40)
+    topics = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)] for _ in range(60)]
+    texts = [" ".join(rng.choice(topics[i % 60] if rng.random() < 0.6 else common) for _ in range(60)) for i in range(900)]
+    texts += texts[:60]
+    pieces = packing.pack(table(spark, list(enumerate(texts))), shard_tokens=4000).collect()
+    check_pieces(pieces, texts)
+    shard = {p.doc_id: p.sequence_id >> 32 for p in pieces}
+    assert len(set(shard.values())) > 20
+    own = bpe.WordBpe(bpe.read_vocabulary())
+    ids = [np.array([*own.encode(t), 1], "<u2") for t in texts]
+    found = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=1 << 16)
+    idf = np.log1p((len(ids) - found + 0.5) / (found + 0.5))
+    index = packing.Index(ids, idf, sum(map(len, ids)) / len(ids))
+    same = []
+    for seed in range(0, 960, 7):
+        near = [i for i in np.argsort(-index.scores(seed), kind="stable")[:6].tolist() if i != seed][:5]
+        same += [shard[i] == shard[seed] for i in near]
+    assert np.mean(same) > 0.6
+    assert np.mean([shard[i] == shard[900 + i] for i in range(60)]) > 0.9
+
+
+def test_one_text_many_times_fills_many_shards(spark):
+    """A run of one key is cut like any other, whether or not its rows have ids."""
+    pieces = packing.pack(table(spark, [(None, "one text that comes again")] * 2000), shard_tokens=1000).collect()
+    held = {}
+    for p in pieces:
+        held[p.sequence_id >> 32] = held.get(p.sequence_id >> 32, 0) + p.length
+    assert len(held) > 5 and max(held.values()) < 3000
+
+
 def test_checksums_and_odd_ids(spark):
     docs = table(spark, [(None, "a b"), (None, "c"), (4, "d e f"), (4, "d e f")])
     pieces = packing.pack(docs)
