@@ -21,32 +21,49 @@ NGRAM_SHARE = {5: 0.25, 6: 0.25, 7: 0.25, 8: 0.25, 9: 0.25, 10: 0.25}
 LINE_SHARE = 0.25
 SYMBOL_SHARE = 0.2  # symbols per word
 SYMBOLS = "#*$%&|<>"
+# Largest share of a text's words inside runs that say the same 1 to 4 words again at once (the repeats are counted,
+# the first time is not). Clean labelled texts have at most 0.09 for single words and 0.04 for longer ones.
+STUTTER_SHARE = {1: 0.2, 2: 0.2, 3: 0.2, 4: 0.2}
+# The same as NGRAM_SHARE for windows that occur three times or more, where longer ones weigh more.
+THRICE_SHARE = {5: 0.2, 6: 0.19, 7: 0.18, 8: 0.17, 9: 0.16, 10: 0.15}
 BASE_NGRAM = 5
 MIN_WORDS = 10
 BASE_PERCENT = 20
 
 
-def repeated_words(words: np.ndarray, n: int) -> np.ndarray:
-    """Mask of the words inside n-word windows that occur twice or more, the first one included."""
+def repeated_words(words: np.ndarray, n: int, times: int = 2) -> np.ndarray:
+    """Mask of the words inside n-word windows that occur ``times`` or more, the first one included."""
     inside = np.zeros(len(words), bool)
     grams = ngrams(words, n)
-    if len(grams) < 2:
+    if len(grams) < times:
         return inside
     order = np.argsort(grams, kind="stable")
     ranked = grams[order]
-    same = ranked[1:] == ranked[:-1]
+    same = ranked[times - 1 :] == ranked[: len(ranked) - times + 1]
     if not same.any():
         return inside
-    twice = np.zeros(len(grams), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
+    often = np.zeros(len(grams), bool)
+    for k in range(times):
+        often[order[k : k + len(same)][same]] = True
     step = np.zeros(len(words) + 1, np.int64)
-    at = np.flatnonzero(twice)
+    at = np.flatnonzero(often)
     step[at] += 1
     step[at + n] -= 1
     return np.cumsum(step[:-1]) > 0
 
 
+def stuttered_words(words: np.ndarray, n: int) -> int:
+    """How many words lie in ``n``-word blocks equal to the block just before them."""
+    if len(words) < 2 * n:
+        return 0
+    same = np.concatenate([[0], np.cumsum(words[n:] == words[:-n])])
+    again = np.flatnonzero(same[n:] - same[:-n] == n)  # block starting at again + n
+    step = np.zeros(len(words) + 1, np.int64)
+    step[again + n] += 1
+    step[again + 2 * n] -= 1
+    return int((np.cumsum(step[:-1]) > 0).sum())
+
+
 def measure(
     text: str | None, words: np.ndarray, sizes: np.ndarray, ngram_share: dict[int, float], line_share: float
 ) -> tuple:
@@ -75,6 +92,13 @@ def measure(
         over |= part > ngram_share[n]
         if part / ngram_share[n] > (share / ngram_share[worst] if worst else 0):
             worst, share = n, part
+    if not failed and repeat:
+        for n, most in THRICE_SHARE.items():
+            inside = repeated_words(words, n, 3)
+            if not inside.any():
+                break
+            over |= float(sizes[inside].sum()) / chars > most
+    over = over or any(stuttered_words(words, n) > most * n_words for n, most in STUTTER_SHARE.items())
     kept = not failed and not over and dup_chars <= line_share * len(text) and symbols <= SYMBOL_SHARE * n_words
     return n_words, chars, symbols, dup_lines, repeat, failed, dup_chars, worst, share, kept
 
@@ -85,7 +109,8 @@ def repetition(
     """Struct of FIELDS for a text column.
 
     ``kept`` is false below MIN_WORDS words, above BASE_PERCENT of the words in repeated 5-word windows,
-    above a limit of ``ngram_share``, above ``line_share`` of all characters in lines equal to an earlier
+    above a limit of ``ngram_share`` (or of THRICE_SHARE, for windows that occur three times or more), above
+    a limit of STUTTER_SHARE for runs of 1 to 4 words said again at once, above ``line_share`` of all characters in lines equal to an earlier
     line (the first one is not counted), or above SYMBOL_SHARE symbols per word. NULL and empty texts have no words and are not kept.
     Any length of text is measured whole; rows are independent, so repeated rows get equal results.
     """

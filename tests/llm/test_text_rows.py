@@ -153,6 +153,28 @@ def test_quality_verdict_and_filter(spark):
     assert repetition.keep_clean(table(spark, [])).count() == 0
 
 
+def test_quality_stutter_and_long_repeats():
+    from tallywork.llm.words import words_of
+
+    def made(text):
+        return next(repetition.measure(text, *w, repetition.NGRAM_SHARE, repetition.LINE_SHARE) for w in words_of([text]))
+
+    rng = random.Random(7)
+    base = [f"u{i}" for i in range(200)]
+    rng.shuffle(base)
+    assert made(" ".join(base))[-1]
+    for n, times in ((1, 2), (1, 4), (2, 2), (3, 2), (4, 2)):  # no 5-word window comes twice
+        text = [w for i in range(0, 48, n) for w in base[i : i + n] * times]
+        assert not made(" ".join(text))[5] and not made(" ".join(text))[-1], (n, times)
+        assert repetition.stuttered_words(next(words_of([" ".join(text)]))[0], n) >= len(text) // 2 - n
+    assert made(" ".join(base[:10] + base[10:13] * 2 + base[13:60]))[-1]  # a little of it is no fault
+    once, thrice = base[:12], base[:188] + base[:12] * 2  # 36 of 212 words in 10-word windows that occur three times
+    assert not made(" ".join(thrice))[5] and not made(" ".join(thrice))[-1]
+    assert made(" ".join(base[:150] + once))[-1]  # one line said twice
+    short = base[:192] + [w for k in (1, 2) for w in [f"x{k}", *base[:6], f"y{k}", *base[20:26]]]
+    assert made(" ".join(short))[-1]  # as many words, but in short windows
+
+
 # --- language ---------------------------------------------------------------------------------
 
 
