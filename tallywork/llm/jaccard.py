@@ -408,17 +408,11 @@ def _settled(left: DataFrame, records: DataFrame, percent: int, keep: Keep) -> D
     return told.groupBy("cluster", "x", "y").applyInPandas(compare, "a bigint, b bigint")
 
 
-def groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, n: int = N, percent: int = PERCENT,
     hot: int = HOT, rare: int = RARE, range_tokens: int = RANGE_TOKENS, rounds: int = STAR_ROUNDS,
 ) -> DataFrame:
-    """One row per input row: (id, n_shingles, component_id).
-
-    A-Z count as a-z; shingles are runs of ``n`` words, a shorter text is one shingle, and a text without words
-    (or NULL) has none and is linked with nothing. The component is named by its smallest id; rows with equal
-    sets are always linked, repeated rows among them. A NULL id never names a component unless there is no
-    other. Sets are told apart by 96-bit fingerprints and tokens by 64 bits of hash (at least 52 in the join).
-    """
+    """One row per input row: (id, size, key, component, component_id); components are numbers of their own."""
     texts = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
     survey = written(_survey(texts, n), "survey")
     # ids travel as text, since pandas turns whole numbers with NULLs into floats
@@ -444,16 +438,57 @@ def groups(
         )
         named = keep(named, "named")
         least = keep(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
-        told = written(named.join(least, "component").select("key", "component_id"), "components")
-    return rows.join(told, "key", "left").select(
+        told = written(named.join(least, "component").select("key", "component", "component_id"), "components")
+    return rows.join(told, "key", "left")
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per input row: (id, n_shingles, component_id).
+
+    A-Z count as a-z; shingles are runs of ``n`` words, a shorter text is one shingle, and a text without words
+    (or NULL) has none and is linked with nothing. The component is named by its smallest id; rows with equal
+    sets are always linked, repeated rows among them. A NULL id never names a component unless there is no
+    other. Sets are told apart by 96-bit fingerprints and tokens by 64 bits of hash (at least 52 in the join).
+    """
+    return _grouped(docs, id_col, text_col, **options).select(
         F.col("id").alias(id_col),
         F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows whose id names their component, with all their columns; texts without words all stay."""
-    made = written(groups(docs, id_col, text_col, **options), "near-copies")
-    gone = made.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    return docs.join(written(gone, "dropped"), id_col, "left_anti")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, **options) -> DataFrame:
+    """One row of each component, that of the smallest id, with all its columns; texts without words all stay."""
+    made = written(_grouped(docs, id_col, text_col, n, **options), "near-copies")
+    # a NULL id comes last; of rows with one id the least set stays
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    first = made.where("size > 0").groupBy("component").agg(F.min(rank).alias("first"))
+    first = written(first.select("first.id", "first.key"), "firsts")
+    per_id = made.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("size") == 0).alias("stay"))
+    stay = first.groupBy("id").agg(F.count(F.lit(1)).alias("first"))
+    per_id = per_id.join(stay.withColumnRenamed("id", "__id"), F.col("id").eqNullSafe(F.col("__id")), "left")
+    per_id = per_id.select(F.col("id").alias("__id"), "n", (F.col("stay") + F.coalesce("first", F.lit(0))).alias("stay"))
+    odd = written(per_id.where("n > stay"), "dropped")
+    same = docs[id_col].eqNullSafe(F.col("__id"))
+    mixed = odd.where("stay > 0").select("__id")
+    rest = docs.join(odd.select("__id"), same, "left_anti")
+    if mixed.isEmpty():
+        return rest
+
+    @F.pandas_udf("binary")
+    def key_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts = pd.DataFrame({"id": None, "text": batch})
+            yield pd.Series([k for _, _, keys in _sets(iter([texts]), n) for k in keys], dtype=object)
+
+    # an id that stands for several rows, of which some stay
+    keyed = docs.join(mixed, same, "left_semi").withColumn("__key", key_of(F.col(f"`{text_col}`")))
+    blank = made.where("size = 0").select(F.col("id").alias("__id"), F.col("key").alias("__set")).distinct()
+    heads = first.select(F.col("id").alias("__id"), F.col("key").alias("__set"))
+    once = keyed.dropDuplicates([id_col, "__key"])
+
+    def among(rows: DataFrame, named: DataFrame) -> DataFrame:
+        found = rows[id_col].eqNullSafe(named["__id"]) & (rows["__key"] == named["__set"])
+        return rows.join(named, found, "left_semi").drop("__key")
+
+    return rest.unionByName(among(once, heads)).unionByName(among(keyed, blank))

@@ -112,6 +112,19 @@ def test_words_do_not_depend_on_blocks(monkeypatch):
     assert [c.tolist() for _, c in w.words_of(["né oui\tx"])] == [[2, 3, 1]]
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join(words(rng, 60, 10**6)) for _ in range(5))
+    rows = [(1, a), (2, a + " x"), (2, b), (3, c), (3, c + " x"), (3, c), (None, d), (None, d + " x"), (None, e), (None, ""), (None, ""), (4, "")]
+    rows += [(None, b + " y"), (9, e + " y")]
+    got = jaccard.keep_one(table(spark, rows)).collect()
+    left = sorted(((r.doc_id, r.text) for r in got), key=str)
+    groups = {x: [(i, t) for i, t in left if t.startswith(x)] for x in (a, b, c, d, e)}
+    assert groups[a] == [(1, a)] and groups[b] == [(2, b)] and groups[e] == [(9, e + " y")]
+    assert [i for i, _ in groups[c]] == [3] and [i for i, _ in groups[d]] == [None]
+    assert sorted((i for i, t in left if not t), key=str) == [4, None, None] and len(left) == 8
+
+
 def test_no_empty_batch_of_sets(monkeypatch):
     import pandas as pd
 
