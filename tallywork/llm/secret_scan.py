@@ -47,10 +47,15 @@ PLACEHOLDERS = {"true", "false", "null", "none", "nil", "undefined", "changeme",
 THRESHOLD = 0.5
 
 _NAME_END = re.compile(r"""([A-Za-z_$][\w$.\-]*)["'\]]{0,2}[ \t]*\Z""")
+# name: type = literal (the type may have parameters), and name type = literal after a word that declares
+_TYPE = r"""[A-Za-z_$&*][\w$.&*?|\[\] ]*(?:<[^<>=\n]*>)?[\w$.&*?|\[\] ]*"""
+_TYPED = re.compile(rf"""([A-Za-z_$][\w$]*)[?!]?[ \t]*:[ \t]*{_TYPE}\Z""")
+_DECLARED = re.compile(r"""\b(?:var|const|let|val)[ \t]+([A-Za-z_$][\w$]*)[ \t]+[A-Za-z_$*][\w$.*\[\]]*[ \t]*\Z""")
 _TERM = re.compile(
     r"""[ \t]*(?:(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*)(?P=quote)"""
     r"""|\$?\{?(?P<bare>[^\s"'`,;#(){}\[\]<>]+)\}?)"""
 )
+_TYPE_END = re.compile(r"""(?:<[^<>=\n]*>|\[\])*[ \t]*=[ \t]*["'`]""")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _LOOK_BACK = 200
 
@@ -83,7 +88,10 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             continue
         if mark.start() and text[mark.start() - 1] in "=!<>:":
             continue
-        name = _NAME_END.search(text[max(mark.start() - _LOOK_BACK, 0) : mark.start()].rpartition("\n")[2])
+        before = text[max(mark.start() - _LOOK_BACK, 0) : mark.start()].rpartition("\n")[2]
+        name = _NAME_END.search(before)
+        if mark[0] == "=":  # the declared name, not its type
+            name = _TYPED.search(before) or _DECLARED.search(before) or name
         if not name:
             continue
         parts: list[tuple[int, int]] = []
@@ -135,7 +143,11 @@ def scan(text: str | None) -> list[Span]:
 
 def redact(text: str | None, mask: str = "[REDACTED]") -> str | None:
     """The text with every secret value replaced; overlapping spans are merged."""
-    spans = sorted((s.value, s.end) for s in scan(text))
+    # letters before = and a quote are the type of a declaration, whose literal has a span of its own
+    spans = sorted(
+        (s.value, s.end) for s in scan(text)
+        if not (s.kind == "assign" and ":" in text[s.start : s.value] and text[s.value : s.end].isalpha() and _TYPE_END.match(text, s.end))
+    )
     out, at, i = [], 0, 0
     while i < len(spans):
         start, end = spans[i]

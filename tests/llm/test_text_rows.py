@@ -252,6 +252,16 @@ def test_assignments_follow_constants():
     assert {text[slice(*p)] for _, ps in secret_scan.assignments(text) for p in ps} >= {"harmless value", "k9x2m4q8w1"}
 
 
+@pytest.mark.parametrize("line", [
+    'password: str = "%s"', 'const apiKey: string = "%s";', 'var token string = "%s"', 'let pw_token: Option<String> = "%s";',
+    'password: str | None = "%s"', 'def f(password: str = "%s", n: int = 3):', 'static final String API_TOKEN = "%s";', "let secretKey: string[] = '%s'",
+])
+def test_typed_declarations(line):
+    assert secret_scan.redact(line % "hunter2xyz9") == line % "[REDACTED]"
+    assert secret_scan.redact(line.replace("pw_", "").replace("%s", "")) == line.replace("pw_", "").replace("%s", "")
+    assert secret_scan.redact("n: string = 'hunter2xyz9'") == "n: string = 'hunter2xyz9'"
+
+
 def test_masking_keeps_everything_else(spark):
     docs = table(spark, list(enumerate(SECRETS))).withColumn("n_chars", __import__("pyspark").sql.functions.lit(1))
     out = secret_scan.mask_secrets(docs)
