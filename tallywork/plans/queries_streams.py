@@ -48,8 +48,11 @@ def stream_hourly_flags(spark, sf):
 SELECT strftime(d, '%Y-%m-%d') AS day, kind, n, amount FROM d
 WHERE CAST(d AS TIMESTAMP) + INTERVAL 2 DAY <= (SELECT date_trunc('millisecond', max(ts)) FROM events)""")
 def stream_closed_days(spark, sf):
-    """Append mode: a day is written once, when the watermark of one day has passed its end."""
-    return tidy(live.drain(live.daily_counts(live.event_stream(spark, sf, late="1 day")), "closed-days"))
+    """Append mode: a day is written once, when the watermark of one day has passed its end.
+
+    Beyond one batch of files these must be in time order within a day; it fails if any row comes too late.
+    """
+    return tidy(live.drain(live.daily_counts(live.event_stream(spark, sf, late="1 day")), "closed-days", whole=True))
 
 
 @query(f"""WITH {EVENTS}, d AS ({_AB.format('day,', 'GROUP BY 1')}),

@@ -19,6 +19,7 @@ from ..sources.activity import arms, readings, shape_events
 from ..sources.files import read_parquet
 
 FILES_PER_BATCH = 1_000
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 def event_stream(spark: SparkSession, folder: str, late: str | None = None) -> DataFrame:
@@ -132,17 +133,30 @@ def settle(stream: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame
     return spark.read.parquet(f"{base}/result")
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append-only stream over what is there into Parquet; return the rows written."""
+def drain(stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
+    """Run an append-only stream over what is there into Parquet; return the rows written.
+
+    ``whole`` is for the replay of a whole table, of which no row may be lost: it fails when rows came behind the
+    watermark and were dropped.
+    """
     spark = stream.sparkSession
     base = shared_dir(spark, name)
-    run = (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{base}/rows")
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
+    told = spark.conf.get(_PROGRESS)
+    spark.conf.set(_PROGRESS, "1000000")  # the progress of every batch is looked at
+    try:
+        run = (
+            stream.writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{base}/rows")
+            .option("checkpointLocation", f"{base}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(_PROGRESS, told)
     run.awaitTermination()
+    if whole:
+        late = sum(op["numRowsDroppedByWatermark"] for p in run.recentProgress for op in p["stateOperators"])
+        if late:
+            raise ValueError(f"{late} rows or partial sums came behind the watermark; files must be in time order within the delay")
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")

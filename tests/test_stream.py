@@ -98,3 +98,15 @@ def test_every_window_of_the_week_counts_each_event(spark):
     assert got.agg(F.sum("n")).first()[0] == 7 * events(spark, SMALL).count()
     assert got.where(F.col("mean_value").isNull()).count() == 0
     assert pytest.approx(got.count(), abs=0) == got.select("first_day", "kind").distinct().count()
+
+
+def test_replay_of_a_whole_table_loses_no_row(spark, tmp_path, monkeypatch):
+    """Files out of time order in several batches: dropped rows are an error, not a smaller result."""
+    from tallywork.plans.queries_streams import stream_closed_days
+
+    monkeypatch.setattr(live, "FILES_PER_BATCH", 1)
+    folder = str(tmp_path)
+    for i, n in enumerate((1, 9, 10, 2, 12)):
+        write(spark, folder, [(i, dt.datetime(2024, 1, n), 3, "view", 1.0)])
+    with pytest.raises(ValueError, match="behind the watermark"):
+        stream_closed_days(spark, folder)
