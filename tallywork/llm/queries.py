@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import blocks, bpe, chat, counts, jaccard, language, licenses, packing, repetition, secret_scan
+from . import (
+    blocks, bpe, chat, collocations, counts, decontaminate, jaccard, language, licenses, packing, repair, repetition, secret_scan,
+)
 
 Runner = Callable[[SparkSession, str], DataFrame]
 
@@ -60,11 +62,25 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.conversations(rows.unionByName(extra)))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, folder))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repair.damage(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return repair.repair(rows, gone_col="gone").withColumnRenamed("conv", "conv_id")
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")).drop("spans")
+
+
 QUERIES: dict[str, Runner] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard, op2_language_id, op3_exact_dedup, op4_quality_rules, op5_packing, op6_bpe,
-        op7_secret_scan, op8_token_counts, op9_license_scan, op10_chat_format,
+        op7_secret_scan, op8_token_counts, op9_license_scan, op10_chat_format, op11_collocations,
+        op12_conversation_repair, op13_decontamination,
     )
 }
 
@@ -104,4 +120,97 @@ ORACLES: dict[str, str] = {
                CAST(sum(length('<s>[INST]  [/INST]</s>') + length(role) + length(told)) AS BIGINT) AS formatted_chars,
                min(bad) IS NULL AS valid, CAST(min(bad) AS INTEGER) AS bad_turn
         FROM f GROUP BY conv_id""",
+    "op11_collocations": r"""
+        WITH p AS (
+          SELECT coalesce(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+              FROM w, (VALUES (1), (2), (3)) AS depth(k)),
+        f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL),
+        words AS (SELECT lang, sum(n) AS n FROM f WHERE k = 1 GROUP BY 1),
+        s AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS s, unnest(range(1, k)) AS j FROM f WHERE k > 1 AND n >= 10),
+        c AS (
+          SELECT s.lang, s.k, s.phrase, a, j, x.n AS l, y.n AS r, (1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS score
+          FROM s JOIN f x ON x.lang = s.lang AND x.phrase = array_to_string(s[1:j], ' ')
+                 JOIN f y ON y.lang = s.lang AND y.phrase = array_to_string(s[j + 1:], ' ')),
+        b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        o AS (
+          SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b
+          WHERE NOT EXISTS (
+            SELECT 1 FROM (SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS sub
+                           FROM b WHERE k = 3) t
+            WHERE t.lang = b.lang AND t.sub = b.phrase AND 100 * t.a >= 50 * b.a))
+        SELECT lang, rank, phrase, a, l, r, CAST(words.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM o JOIN words USING (lang) WHERE rank <= 2000""",
+    "op12_conversation_repair": r"""
+        WITH k AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS name FROM conversations),
+        z AS (  -- a checksum bit by bit: each byte, then seven more steps
+          SELECT *, xor(list_reduce(flatten(list_transform(name, lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                                    lambda h, x: xor(xor(h, x) >> 1, 3988292384 * (xor(h, x) & 1)), 4294967295), 4294967295) % 20 AS z FROM k),
+        d AS (
+          SELECT conv_id, turn, CASE WHEN z = 4 THEN 'user' ELSE role END AS role,
+                 CASE z WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(CASE WHEN z = 3 THEN [0, 1] ELSE [0] END) AS copy
+          FROM z WHERE z <> 0),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos, left(role, 1) AS i FROM d),
+        f AS (
+          SELECT *, lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS two,
+                 CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+                      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM n),
+        c AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                 count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                 count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal,
+                 list({'i': i, 'fault': fault, 'role': role, 'text': text} ORDER BY pos) AS rows
+          FROM f GROUP BY conv_id),
+        -- least (cost, audit) at the start, after a system turn, inside a pair and after one
+        m AS (
+          SELECT *, list_reduce(rows, lambda s, x:
+            list_transform([list_transform(
+              [CASE WHEN x.fault IN (1, 2) THEN 1000000000 WHEN x.fault = 3 THEN 5 ELSE 0 END], lambda t: [
+                {'c': s[1].c + 2, 'a': s[1].a || 'D'},
+                least({'c': s[2].c + 2, 'a': s[2].a || 'D'}, {'c': s[1].c + t + CASE WHEN x.i = 's' THEN 0 ELSE 1000000000 END, 'a': s[1].a || 'K'}),
+                list_min(list_concat([{'c': s[3].c + 2, 'a': s[3].a || 'D'}],
+                  list_transform([s[1], s[2], s[4]], lambda q: {'c': q.c + t + CASE WHEN x.i = 'u' THEN 0 ELSE 1 END, 'a': q.a || CASE WHEN x.i = 'u' THEN 'K' ELSE 'R' END}))),
+                least({'c': s[4].c + 2, 'a': s[4].a || 'D'}, {'c': s[3].c + t + CASE WHEN x.i = 'a' THEN 0 ELSE 1 END, 'a': s[3].a || CASE WHEN x.i = 'a' THEN 'K' ELSE 'R' END})
+              ])[1]], lambda b:
+              list_transform([list_min([b[3], {'c': b[1].c + 5, 'a': b[1].a || 'I'}, {'c': b[2].c + 5, 'a': b[2].a || 'I'}, {'c': b[4].c + 5, 'a': b[4].a || 'I'}])],
+                             lambda u: [b[1], b[2], u, least(b[4], {'c': u.c + 5, 'a': u.a || 'I'})])[1])[1],
+            [{'c': 0, 'a': ''}, {'c': 1000000000, 'a': ''}, {'c': 5, 'a': 'I'}, {'c': 10, 'a': 'II'}]) AS s FROM c),
+        e AS (SELECT *, least(s[1], s[4]) AS best FROM m),
+        r AS (
+          SELECT *, list_reduce(string_split(best.a, ''), lambda h, x: CASE
+            WHEN x = 'D' THEN {'u': h.u, 'k': h.k + 1, 't': h.t}
+            WHEN x = 'K' THEN {'u': rows[h.k].i = 'u', 'k': h.k + 1, 't': list_append(h.t, rows[h.k].role || ':' || rows[h.k].text)}
+            WHEN x = 'R' THEN {'u': NOT h.u, 'k': h.k + 1, 't': list_append(h.t, CASE WHEN h.u THEN 'assistant:' ELSE 'user:' END || rows[h.k].text)}
+            ELSE {'u': NOT h.u, 'k': h.k, 't': list_append(h.t, CASE WHEN h.u THEN 'assistant:' ELSE 'user:' END)} END,
+            {'u': false, 'k': 1, 't': []::VARCHAR[]}).t AS told FROM e WHERE best.a <> '')
+        SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+               coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(CAST(r.best.c AS BIGINT), 0) AS cost,
+               coalesce(r.best.a, '') AS audit, sha256(coalesce(array_to_string(r.told, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+             LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_decontamination": r"""
+        WITH d AS (
+          SELECT doc_id, row_number() OVER () AS row,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (
+          SELECT coalesce(item_id::VARCHAR, '') AS item,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        q AS (SELECT DISTINCT item, least(len(w), 10) AS m, unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i:i + least(len(w), 10) - 1], ' '))) AS g
+              FROM b WHERE len(w) > 0),
+        h AS (
+          SELECT row, item, i, m FROM (
+            SELECT row, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: {'i': i, 'g': array_to_string(w[i:i + m - 1], ' ')}), recursive := true)
+            FROM d, (SELECT DISTINCT m FROM q)) JOIN q USING (m, g)),
+        n AS (SELECT row, count(DISTINCT pos) AS n_hit FROM (SELECT row, unnest(range(i, i + m)) AS pos FROM h) GROUP BY row),
+        t AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM h) GROUP BY row)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (row) LEFT JOIN t USING (row)""",
 }

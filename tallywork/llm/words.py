@@ -30,10 +30,10 @@ def _factors(n: int) -> np.ndarray:
     return mix(np.arange(n, dtype=np.uint64)) | np.uint64(1)
 
 
-def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_block(data: bytes, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, number of code points and start of each word of a block that starts and ends between words."""
     raw = np.frombuffer(data, np.uint8)
-    gap = _GAP[raw]
+    gap = gaps[raw]
     edge = np.diff(gap.astype(np.int8), prepend=1, append=1)
     first, last = np.flatnonzero(edge < 0), np.flatnonzero(edge > 0)
     if not len(first):
@@ -48,8 +48,14 @@ def _hash_block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(terms, at) ^ (size.astype(np.uint64) << np.uint64(40))), chars, first
 
 
-_GAP = np.zeros(256, bool)
-_GAP[list(_SPACES)] = True
+def gaps_of(*bytes_: int) -> np.ndarray:
+    """The table of bytes that stand between words; the ASCII white space must be among them."""
+    out = np.zeros(256, bool)
+    out[list(bytes_)] = True
+    return out
+
+
+_GAP = gaps_of(*_SPACES)
 
 
 def _blocks(data: bytes) -> Iterator[bytes]:
@@ -63,10 +69,12 @@ def _blocks(data: bytes) -> Iterator[bytes]:
         at = end
 
 
-def words_of(texts: Iterable[str | None], lower: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def words_of(
+    texts: Iterable[str | None], lower: bool = False, gaps: np.ndarray = _GAP
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Hash and code points of each word, text by text; short texts share one pass. None counts as empty.
 
-    ``lower`` turns A-Z to a-z first and leaves every other letter as it is.
+    ``lower`` turns A-Z to a-z first and leaves every other letter as it is. ``gaps`` says which bytes part words.
     """
     held: list[bytes] = []
     total = 0
@@ -74,7 +82,7 @@ def words_of(texts: Iterable[str | None], lower: bool = False) -> Iterator[tuple
     def flush() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if not held:
             return
-        hashes, chars, first = _hash_block(b"\n".join(held))
+        hashes, chars, first = _hash_block(b"\n".join(held), gaps)
         starts = np.cumsum([0] + [len(d) + 1 for d in held])
         cuts = np.searchsorted(first, starts)
         for i in range(len(held)):
@@ -86,7 +94,7 @@ def words_of(texts: Iterable[str | None], lower: bool = False) -> Iterator[tuple
         if len(data) > BLOCK:
             yield from flush()
             held, total = [], 0
-            made = [_hash_block(part) for part in _blocks(data)]
+            made = [_hash_block(part, gaps) for part in _blocks(data)]
             yield np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
             continue
         held.append(data)
