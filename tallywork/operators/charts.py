@@ -42,7 +42,7 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     x = double(value)
     inside = (x >= F.col("lower")) & (x <= F.col("upper"))
     return (
-        spread_join(counts, lines, by)
+        spread_join(counts, lines, by, counts.withColumn("_one", F.lit(1)), "_one")
         .groupBy(*by)
         .agg(
             F.max("_q1").alias("q1"),

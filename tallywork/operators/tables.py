@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import ratio
 
-SALTS = 16
+SLOTS = 1 << 16  # counters of the sketch that finds crowded keys; more than any sensible number of tasks
 
 
 def levels(df: DataFrame, column: str, most: int) -> list:
@@ -90,21 +90,58 @@ def top_per_group(
 
 
 def with_group_stats(df: DataFrame, by: Sequence[str], **stats: Column) -> DataFrame:
-    """Group statistics beside every row, by aggregate and join instead of a whole-group window."""
+    """Group statistics beside every row, by aggregate and join instead of a whole-group window.
+
+    The rows of a group are counted with its statistics, and a crowded group is spread by that count.
+    """
     kept = df
     for c in by:
         kept = kept.where(F.col(c).isNotNull())
-    return spread_join(kept, kept.groupBy(*by).agg(*[e.alias(k) for k, e in stats.items()]), by)
+    per_group = kept.groupBy(*by).agg(*[e.alias(k) for k, e in stats.items()], F.count("*").alias("_n"))
+    return spread_join(kept, per_group, by, per_group, "_n").drop("_n")
+
+
+def salts(sizes: DataFrame, by: Sequence[str], n: str) -> Column:
+    """How many tasks the rows of a key need, as a column of any frame with the columns ``by``.
+
+    ``sizes`` counts rows (column ``n``) by key or finer. Its sums by hash slot are a count-min sketch of one row:
+    bounded, the same on every run, and never too low. A key whose slot holds more than one task's fair share of
+    all rows gets as many salts as it holds shares; every other key has one. At most as many slots as there are
+    shuffle partitions can be that full, so what every task gets to know is small whatever the data.
+    """
+    tasks = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slot = F.pmod(F.xxhash64(*by), F.lit(max(SLOTS, 16 * tasks)))
+    # the digest keeps every column of ``sizes`` in the plan, so that it shares the shuffle of its other uses
+    slots = sizes.groupBy(slot.alias("slot")).agg(
+        F.sum(n).alias("n"), F.max(F.xxhash64(*sizes.columns)).alias("digest")
+    )
+    told = slots.where(F.col("digest").isNotNull()).agg(
+        F.collect_list(F.struct("slot", "n")).alias("slots"), F.sum("n").alias("rows")
+    )
+    full = told.select(
+        F.expr(
+            f"map_from_entries(transform(filter(slots, s -> s.n * {tasks} > rows),"
+            f" s -> struct(s.slot, cast(ceil(s.n * {tasks} / rows) AS int))))"
+        ).alias("full")
+    )
+    return F.coalesce(F.try_element_at(full.scalar(), slot), F.lit(1))
 
 
-def spread_join(rows: DataFrame, few: DataFrame, by: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Join with one row per key, each copied ``salts`` times, so that a crowded key is spread over tasks.
+def spread_join(
+    rows: DataFrame, few: DataFrame, by: Sequence[str], sizes: DataFrame | None = None, n: str = "n"
+) -> DataFrame:
+    """Join with one row per key, a crowded key being spread over as many tasks as its rows need (see ``salts``).
 
-    The salt comes from the row's content, so a task that runs again deals its rows the same way.
+    ``sizes`` counts ``rows`` by key or finer, if that is at hand. The row of a crowded key is copied once per
+    salt. The salt of a row comes from its content, so a task that runs again deals its rows the same way; rows
+    equal in all columns stay together (adaptive execution can still split them).
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*by, "_salt"]).drop("_salt")
+    if sizes is None:
+        sizes, n = rows.groupBy(*by).agg(F.count("*").alias("n")), "n"
+    need = salts(sizes, by, n)
+    salted = rows.withColumn("_salts", need).withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int"))
+    copies = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), need - 1)))
+    return salted.drop("_salts").join(copies, [*by, "_salt"]).drop("_salt")
 
 
 def fan_out(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

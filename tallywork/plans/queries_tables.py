@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import bands_below, bands_upto, day_text, parse_date, ratio, recode, trim_all, year_month
+from ..functions.columns import bands_below, bands_upto, day_text, parse_date, ratio, recode, thousands, trim_all, year_month
 from ..functions.stats import share_where
 from ..operators import clean, profile, tables
 from ..operators.ordered import value_ladder
 from ..sources.activity import campaigns, events
-from ..sources.files import read_parquet, run_sql
+from ..sources.files import inline, read_parquet, run_sql
 from ..sources.shop import areas, from_star
 from . import sales
 from .activity import tally
@@ -241,8 +241,17 @@ def _channel_priority(shop):
     )
 
 
-@query("""SELECT * FROM (PIVOT (SELECT c_mktsegment AS acquisition_channel, o_orderpriority
-  FROM orders JOIN customer ON c_custkey = o_custkey) ON o_orderpriority USING count(*) GROUP BY acquisition_channel)""")
+# the levels of the test tables, for SQL that has to name its columns; the queries find theirs in the data
+_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+def _counted(column, levels):
+    return ", ".join(f"count(*) FILTER ({column} = '{v}') AS \"{v}\"" for v in levels)
+
+
+@query(f"""SELECT c_mktsegment AS acquisition_channel, {_counted('o_orderpriority', _PRIORITIES)}
+  FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
 def crosstab_counts(spark, sf):
     """One column per priority that the orders have."""
     shop = from_star(spark, sf)
@@ -266,8 +275,7 @@ def pivot_margins(spark, sf):
     return tidy(both)
 
 
-@query("""SELECT * FROM (PIVOT (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type FROM events)
-  ON event_type USING count(*) GROUP BY day)""")
+@query(f"""SELECT strftime(ts, '%Y-%m-%d') AS day, {_counted('event_type', _KINDS)} FROM events GROUP BY 1""")
 def long_to_wide(spark, sf):
     """One column per kind of event that the data has."""
     cells = events(spark, sf).groupBy("day", "kind").agg(F.count("*").alias("n"))
@@ -581,3 +589,27 @@ def customer_bands(spark, sf):
         .agg(F.count("*").alias("customers"))
     )
     return tidy(tables.share_within(counts, ["acquisition_channel"], "customers"))
+
+
+@query("""WITH w(payment_method, days) AS (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 5), ('4-NOT SPECIFIED', NULL), ('6-NEVER', 90))
+SELECT w.payment_method, days, count(o_orderkey) AS orders, CAST(count(o_orderkey) * days AS BIGINT) AS order_days
+FROM w LEFT JOIN orders ON o_orderpriority = w.payment_method GROUP BY 1, 2""")
+def literal_targets(spark, sf):
+    """A small frame of literals beside the orders of a table."""
+    targets = inline(
+        spark,
+        [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 5), ("4-NOT SPECIFIED", None), ("6-NEVER", 90)],
+        "payment_method string, days bigint",
+    )
+    counts = from_star(spark, sf).orders.groupBy("payment_method").agg(F.count("*").alias("k"))
+    orders = F.coalesce("k", F.lit(0)).alias("orders")
+    joined = targets.join(counts, "payment_method", "left").select("payment_method", "days", orders)
+    return joined.withColumn("order_days", F.col("orders") * F.col("days"))
+
+
+@query(f"""WITH {LINES}, c AS (SELECT p.p_type AS category, sum(amount) AS revenue, count(*) AS lines FROM lines JOIN part p ON p.p_partkey = product_id GROUP BY 1)
+SELECT category, format('{{:,}}', CAST(floor(revenue) AS BIGINT)) AS revenue, format('{{:,}}', lines) AS lines FROM c""")
+def revenue_for_display(spark, sf):
+    """Whole amounts with thousands separators, formatted once per category after the sums."""
+    by = sales.by_product(from_star(spark, sf), "category")
+    return by.select("category", thousands(F.floor("revenue")).alias("revenue"), thousands("lines").alias("lines"))

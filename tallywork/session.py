@@ -36,13 +36,20 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def drop_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a written folder when the driver ends, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write a base that several results start from, and read it back.
 
-    The table sits in the shared folder, so it outlives any executor and is computed once.
+    The table sits in the shared folder, so it outlives any executor and is computed once. It goes with the driver.
     """
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

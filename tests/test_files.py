@@ -1,6 +1,8 @@
 import os
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallywork.plans import sales
@@ -104,3 +106,42 @@ def test_sql_over_named_frames(spark):
     assert files.run_sql(spark, "SELECT count(*) AS n FROM seen").first().n == 2
     files.register_folder(spark, "/root/testdata/sf0.001", ["nation", "region"])
     assert files.run_sql(spark, "SELECT count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey").first().n == 25
+
+
+# --- CSV that does not fit ---------------------------------------------------------------------
+
+PEOPLE = "id bigint, name string, born date, score double"
+
+
+def test_columns_are_found_by_header_name(spark, tmp_path):
+    put(tmp_path, "people", "name,extra,id,score,born\nAnn,x,1,2.5,2024-01-02\nBob,,2,,\n")
+    got = [tuple(r) for r in files.read_csv(spark, f"{tmp_path}/people.csv", PEOPLE).collect()]
+    assert [(r[0], r[1], str(r[2]), r[3]) for r in got] == [(1, "Ann", "2024-01-02", 2.5), (2, "Bob", "None", None)]
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    put(tmp_path, "people", "id,title\n1,x\n")
+    with pytest.raises(ValueError, match="no column name, born, score"):
+        files.read_csv(spark, f"{tmp_path}/people.csv", PEOPLE)
+
+
+def test_files_of_one_folder_must_agree(spark, tmp_path):
+    put(tmp_path / "people", "a", "id,name,born,score\n1,Ann,,\n")
+    put(tmp_path / "people", "b", "name,id,born,score\nBob,2,,\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):  # Spark passes some read errors on as they are
+        files.read_csv(spark, f"{tmp_path}/people", PEOPLE).collect()
+
+
+def test_bad_lines_end_the_query_or_are_set_apart(spark, tmp_path):
+    lines = ["1,Ann,2024-01-02,1.5", "2,Bob,02.01.2024,1", "x,Cid,,", "4,Dee", "5,Eve,,,,6", "6,Flo,,2"]
+    put(tmp_path, "people", "id,name,born,score\n" + "\n".join(lines) + "\n")
+    path = f"{tmp_path}/people.csv"
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv(spark, path, PEOPLE).select("name").collect()
+    good, rejects, counts = files.split_csv(spark, path, PEOPLE)
+    assert good.columns == ["id", "name", "born", "score"]
+    assert [r.id for r in good.collect()] == [1, 6] and good.count() == 2
+    assert sorted(r.line for r in rejects.collect()) == sorted(lines[1:5]) and rejects.count() == 4
+    assert [r.name for r in good.select("name").collect()] == ["Ann", "Flo"]
+    report = counts.first()
+    assert (report.lines, report.rejected) == (6, 4) and report.file.endswith("people.csv")

@@ -47,6 +47,51 @@ def test_spread_join_gives_every_row_once(spark):
     assert {r.v: r["count"] for r in got} == {1: 143, 2: 857}
 
 
+@pytest.fixture
+def shuffled(spark):
+    """Plain shuffles: no broadcast, and nothing that adaptive execution would mend."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield 32
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_key_with_nine_tenths_of_the_rows_is_spread(spark, shuffled):
+    n = 64_000
+    rows = spark.range(n).select("id", F.when(F.col("id") % 10 > 0, -1).otherwise(F.col("id")).alias("k"), (F.col("id") % 13).alias("v"))
+    got = tables.with_group_stats(rows, ["k"], mean=F.avg("v"), n=F.count("*"))
+    sizes = got.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    # a fair share is 2,000 rows
+    assert sum(r["count"] for r in sizes) == n and max(r["count"] for r in sizes) < 4 * n / shuffled
+    assert {r.n for r in got.select("k", "n").distinct().collect()} == {1, 9 * n // 10}
+    # a light key is not copied
+    needs = got.select("k").distinct().select(tables.salts(rows.withColumn("one", F.lit(1)), ["k"], "one").alias("s"), "k")
+    told = {r.k: r.s for r in needs.collect()}
+    assert told.pop(-1) in (29, 30) and set(told.values()) <= {1, 29, 30} and sum(s > 1 for s in told.values()) < 3
+
+
+def test_group_stats_of_skewed_tiny_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", 1.0)] * 50 + [("b", 3.0), (None, 4.0), ("c", None)], "k string, v double")
+    got = tables.with_group_stats(df, ["k"], mean=F.avg("v"), sd=F.stddev_samp("v"))
+    assert sorted((r.k, r.v, r.mean) for r in got.collect() if r.v is not None) == [("a", 1.0, 1.0)] * 50 + [("b", 3.0, 3.0)]
+    assert tables.with_group_stats(df.limit(0), ["k"], mean=F.avg("v")).count() == 0
+
+
+def test_a_pivot_follows_the_levels_of_the_data(spark, tmp_path, monkeypatch):
+    from tallywork.plans import queries_tables
+    from tallywork.sources.activity import events
+
+    one = events(spark, "/root/testdata/sf0.001")
+    new = one.limit(1).withColumn("kind", F.lit("refund"))
+    monkeypatch.setattr(queries_tables, "events", lambda *_: one.unionByName(new))
+    got = queries_tables.long_to_wide(spark, "")
+    assert set(got.columns) == {"day", "click", "error", "purchase", "refund", "signup", "view"}
+    assert got.agg(F.sum("refund")).first()[0] == 1 and got.agg(F.sum("view")).first()[0] == one.where("kind = 'view'").count()
+
+
 def test_margins(spark):
     got = {(r.r, r.c): r.s for r in tables.with_margins(cells(spark), "r", "c", [F.sum("n").alias("s")]).collect()}
     assert got == {("a", "x"): 1, ("a", "y"): 2, ("b", "x"): 3, ("a", "total"): 3, ("b", "total"): 3,
