@@ -159,7 +159,9 @@ def test_ols_survives_a_constant_and_a_copy(people):
     ).collect()
     plain = {r.term: r.coef for r in regression.ols(df, "pay", {"m": ["lvl"]}).collect()}
     got = {r.term: r.coef for r in out}
-    assert got["one"] == pytest.approx(0, abs=1e-9)
+    # of all coefficients that fit equally well, those of least norm: the constant takes half of the intercept
+    assert got["one"] == pytest.approx(got["intercept"]) == pytest.approx(plain["intercept"] / 2)
+    assert got["twin"] == pytest.approx(2 * got["lvl"])
     assert got["lvl"] + 2 * got["twin"] == pytest.approx(plain["lvl"])
 
 
@@ -184,3 +186,81 @@ def test_correlation_skips_nulls_in_pairs(spark):
     got = {(r.a, r.b): r.r for r in regression.correlations(df, ["a", "b", "c"]).collect()}
     assert got[("a", "b")] == pytest.approx(1) and got[("c", "a")] == pytest.approx(-1) and got[("a", "a")] == 1
     assert len(got) == 9
+
+
+# --- least squares and correlation of awkward tables --------------------------------------------
+
+
+def design(seed=3, n=60):
+    rng = np.random.default_rng(seed)
+    x, z = rng.normal(5, 2, n), rng.normal(-3, 1, n)
+    return {"x": x, "x3": 3 * x, "z": z, "c": np.full(n, 4.0), "big": 1e9 + 1e-3 * rng.normal(size=n), "y": 2 + 0.5 * x - z + rng.normal(0, 0.3, n)}
+
+
+@pytest.mark.parametrize("xs", [["x"], ["x", "x3"], ["x", "c"], ["x", "x3", "z", "c"], ["c"], ["z", "x"]])
+def test_fits_of_dependent_and_constant_columns(spark, xs):
+    data = design()
+    n = len(data["y"])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data)).repartition(5)
+    got = {r.term: r for r in regression.ols(df, "y", {"m": xs}).collect()}
+    a = np.column_stack([np.ones(n), *[data[x] for x in xs]])
+    want, _, rank, _ = np.linalg.lstsq(a, data["y"], rcond=None)
+    noise = ((data["y"] - a @ want) ** 2).sum() / (n - rank)
+    errors = np.sqrt(noise * np.diag(np.linalg.pinv(a.T @ a, rcond=1e-12)))
+    for term, coef, error in zip(["intercept", *xs], want, errors):
+        assert got[term].coef == pytest.approx(coef, rel=1e-8, abs=1e-9), term
+        assert got[term].stderr == pytest.approx(error, rel=1e-6), term
+        if error:
+            assert got[term].p == pytest.approx(student(abs(got[term].t), n - rank), abs=1e-9)
+
+
+def student(t, dof):
+    """Two-sided tail of Student's t by Simpson's rule."""
+    if t > 60:
+        return 0.0
+    u = np.linspace(0, t, 200_001)
+    f = np.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi) * (1 + u * u / dof) ** (-(dof + 1) / 2)
+    return max(0.0, 1 - 2 * (u[1] - u[0]) / 3 * (f[0] + f[-1] + 4 * f[1:-1:2].sum() + 2 * f[2:-1:2].sum()))
+
+
+def test_a_small_spread_on_a_large_level_counts(spark):
+    data = design()
+    data["y"] = 3 + 1e3 * (data["big"] - 1e9) + 0.5 * data["x"]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data))
+    got = {r.term: r.coef for r in regression.ols(df, "y", {"m": ["big", "x"]}).collect()}
+    assert got["big"] == pytest.approx(1e3, rel=1e-4) and got["x"] == pytest.approx(0.5, rel=1e-4)
+
+
+def test_correlations_of_a_wide_table_take_one_pass_of_products(spark):
+    rng = np.random.default_rng(4)
+    n, k = 400, 300
+    base = rng.normal(size=(n, 12))
+    x = base[:, rng.integers(0, 12, k)] * rng.normal(1, 1, k) + rng.normal(size=(n, k)) + rng.normal(0, 1e4, k)
+    x[rng.random((n, k)) < 0.1] = np.nan
+    x[:, 7], x[:, 8] = 3.0, np.nan
+    names = [f"c{i}" for i in range(k)]
+    rows = [[None if math.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame([(r,) for r in rows], "x array<double>").select(*[F.get("x", i).alias(c) for i, c in enumerate(names)]).repartition(4)
+    got = {(r.a, r.b): r.r for r in regression.correlations(df, names).collect()}
+    assert len(got) == k * k
+    import pandas as pd
+
+    want = pd.DataFrame(x, columns=names).corr().to_numpy()
+    for i in range(k):
+        for j in range(k):
+            r = got[names[i], names[j]]
+            if i == j:
+                assert r == 1.0
+            elif i in (7, 8) or j in (7, 8):
+                assert r is None
+            else:
+                assert r == pytest.approx(want[i, j], abs=1e-9)
+
+
+def test_wide_and_narrow_correlations_agree(spark):
+    data = design()
+    df = spark.createDataFrame([(float(a), None if i % 7 == 0 else float(b), float(c)) for i, (a, b, c) in enumerate(zip(data["x"], data["z"], data["y"]))], "a double, b double, c double")
+    narrow = {(r.a, r.b): r.r for r in regression.correlations(df, ["a", "b", "c"]).collect()}
+    wide = {(r.a, r.b): r.r for r in regression._wide_correlations(df, ["a", "b", "c"]).collect()}
+    assert narrow.keys() == wide.keys() and all(narrow[k] == pytest.approx(wide[k], abs=1e-12) for k in narrow)
+    assert {r.r for r in regression._wide_correlations(df.limit(0), ["a", "b"]).collect() if r.a != r.b} <= {None}
