@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from ..functions.columns import double
 from ..session import range_count
+from .sketches import merged_quantiles, quantile_sketches
 
 ROWS_PER_BLOCK = 100_000
 MERGE_TASKS = 64  # first level of merging the sketches of all input tasks
@@ -106,12 +107,19 @@ def value_ladder(
 
 
 def quantiles(
-    df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (), approx: bool = False
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one output column per named probability.
 
-    Also returns ``n`` (non-null rows). One row per group, or a single row.
+    Also returns ``n`` (non-null rows). One row per group, or a single row. With ``approx`` one KLL sketch per
+    group and task stands for the values: the results are values that occur, with ranks within
+    ``sketches.rank_error()`` of the wanted ones.
     """
+    if approx:
+        kept = df
+        for c in by:
+            kept = kept.where(F.col(c).isNotNull())
+        return merged_quantiles(quantile_sketches(kept, value, by), probs, by)
 
     def position(p: float, n: Column) -> Column:
         return F.lit(float(p)) * (n - 1)
@@ -195,7 +203,9 @@ def _bounds(df: DataFrame, columns: Sequence[str], ranges: int) -> DataFrame:
     level = lambda cols: [sketch(c, ranges).alias(b) for c, b in zip(cols, names)]
     dealt = df.select(*columns).withColumn("_task", F.spark_partition_id() % MERGE_TASKS)
     parts = dealt.groupBy("_task").agg(*level(columns))
-    spread = parts.select(F.explode(F.arrays_zip(*names)).alias("z")).select("z.*")
+    # a task whose column is all NULL has no bounds for it, but it keeps those of the other column
+    known = [F.coalesce(b, F.array().cast(parts.schema[b].dataType)).alias(b) for b in names]
+    spread = parts.select(F.explode(F.arrays_zip(*known)).alias("z")).select("z.*")
     return spread.agg(F.struct(*level(names)))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import double, ratio
 from ..functions.stats import adjusted_kurtosis, adjusted_skewness
 from .ordered import quantiles
+from .sketches import distinct_sketches, merged_distinct
 
 # The quartiles of a numeric summary.
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -58,27 +59,64 @@ def types(df: DataFrame) -> DataFrame:
     return counted.select(cells.alias("c")).select("c.*")
 
 
-def _long_values(df: DataFrame, columns: Sequence[str], digest: Sequence[str]) -> DataFrame:
-    """(column, value) text pairs; ``digest`` columns travel as a SHA-256 of the whole text."""
-    cell = lambda c: F.sha2(F.col(c).cast("string"), 256) if c in digest else F.col(c).cast("string")
-    return df.select(*[cell(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+def _comparable(df: DataFrame, column: str, digest: bool) -> tuple[str, Column]:
+    """A column in the type it is grouped by: numbers and times are not spelled out, ``digest`` columns and
+    nested ones travel as a SHA-256 or as text."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if digest:
+        return "string", F.sha2(value.cast("string"), 256)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return "bigint", value.cast("bigint")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return "double", value.cast("double")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType, T.BinaryType)):
+        return kind.simpleString(), value
+    return "string", value.cast("string")
 
 
-def audit(df: DataFrame, digest: Sequence[str] = ()) -> DataFrame:
-    """Per column: rows, nulls, distinct values and the size of its largest value group.
+def value_sizes(df: DataFrame, columns: Sequence[str], digest: Sequence[str] = ()) -> DataFrame:
+    """(column, is_null, n): the size of every group of equal values of each column, from one read.
 
-    Repeated values collapse before the shuffle, so a value that fills a third of a column is cheap.
+    A value is a row with one field per type, of which its own is set. Repeated values collapse before the
+    shuffle, so a value that fills a third of a column is cheap.
     """
-    groups = _long_values(df, df.columns, digest).groupBy("column", "value").agg(F.count("*").alias("n"))
-    is_null = F.col("value").isNull()
-    return groups.groupBy("column").agg(
+    values = [_comparable(df, c, c in digest) for c in columns]
+    fields = {kind: f"f{i}" for i, kind in enumerate(dict.fromkeys(kind for kind, _ in values))}
+    cells = [
+        F.struct(F.lit(i).alias("number"), *[(v if k == kind else F.lit(None)).cast(k).alias(f) for k, f in fields.items()])
+        for i, (kind, v) in enumerate(values)
+    ]
+    groups = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").groupBy("number", *fields.values()).agg(F.count("*").alias("n"))
+    is_null = F.lit(True)
+    for f in fields.values():
+        is_null = is_null & F.col(f).isNull()
+    names = F.array(*[F.lit(c) for c in columns])
+    return groups.select(F.get(names, F.col("number")).alias("column"), is_null.alias("is_null"), "n")
+
+
+def audit(df: DataFrame, digest: Sequence[str] = ()) -> DataFrame:
+    """Per column: rows, nulls, distinct values and the size of its largest value group."""
+    is_null, n = F.col("is_null"), F.col("n")
+    return value_sizes(df, df.columns, digest).groupBy("column").agg(
         F.sum("n").alias("rows"),
-        F.sum(F.when(is_null, F.col("n")).otherwise(F.lit(0))).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-        F.max(F.when(~is_null, F.col("n"))).alias("top_count"),
+        F.sum(F.when(is_null, n).otherwise(F.lit(0))).alias("nulls"),
+        F.count_if(~is_null).alias("distinct_values"),
+        F.max(F.when(~is_null, n)).alias("top_count"),
     )
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
+    """``column, distinct_values`` (NULL is no value).
+
+    With ``approx`` the counts come from one HyperLogLog sketch per column and task, without any shuffle of
+    values; they are within ``sketches.distinct_error()`` of the exact ones.
+    """
+    if not approx:
+        return value_sizes(df, columns).groupBy("column").agg(F.count_if(~F.col("is_null")).alias("distinct_values"))
+    one = merged_distinct(distinct_sketches(df, columns), columns)
+    return one.unpivot([], list(columns), "column", "distinct_values")
+
+
 def duplicate_rows(df: DataFrame, digest: Sequence[str] = ()) -> DataFrame:
     """Rows, distinct rows and surplus copies over all columns of ``df``."""
     keys = [F.sha2(F.col(c), 256).alias(c) if c in digest else F.col(c) for c in df.columns]

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import double, parse_date, recode, trim_all
 from ..functions.stats import adjusted_skewness
-from ..operators import clean, profile
+from ..operators import clean, profile, sketches
 from ..operators.ordered import quantiles
+from ..session import materialise
 from ..sources.activity import events, readings
-from ..sources.files import read_parquet
+from ..sources.files import inline, read_parquet
 from ..sources.shop import from_star
 from . import sales
 from .catalog import AMOUNTS, EVENTS, query, tidy
@@ -241,7 +242,9 @@ UNION ALL SELECT 'recode gender', count(*) FILTER (gender IS NULL OR gender NOT
 UNION ALL SELECT 'age out of range', count(*) FILTER (age < 0 OR age > 120) FROM dirty
 UNION ALL SELECT 'date spelling', count(*) FILTER (try_strptime(registration_date, '%Y-%m-%d') IS NULL) FROM dirty""")
 def cleaning_change_log(spark, sf):
-    return clean.customer_change_log(_dirty(spark, sf))
+    """Counted while the cleaned table is written."""
+    changes = clean.clean_customers_observed(_dirty(spark, sf)).changes
+    return inline(spark, changes.items(), "rule string, rows_changed bigint")
 
 
 @query(f"""WITH {_CLEAN_SQL}, r AS (SELECT count(*) AS n FROM dirty)
@@ -250,20 +253,11 @@ SELECT (SELECT n FROM r) AS rows_before, (SELECT count(*) FROM once) AS rows_uni
   round(min(age), 6) AS youngest, round(max(age), 6) AS oldest,
   count(*) FILTER (gender NOT IN ('女性', '男性', '回答なし')) AS odd_genders FROM cleaned""")
 def cleaning_check(spark, sf):
-    raw = _dirty(spark, sf)
-    done = clean.clean_customers(raw)
-    return tidy(
-        done.agg(
-            raw.agg(F.count("*")).scalar().alias("rows_before"),
-            clean.drop_duplicate_rows(raw).agg(F.count("*")).scalar().alias("rows_unique"),
-            F.count("*").alias("rows_after"),
-            F.count_if(F.col("registration_date").isNull()).alias("undated"),
-            F.count_if(F.col("age").isNull()).alias("ageless"),
-            F.min("age").alias("youngest"),
-            F.max("age").alias("oldest"),
-            F.count_if(~F.col("gender").isin("女性", "男性", "回答なし")).alias("odd_genders"),
-        )
-    )
+    """Counted while the cleaned table is written."""
+    counts = clean.clean_customers_observed(_dirty(spark, sf)).counts
+    kinds = {"youngest": "double", "oldest": "double"}
+    schema = ", ".join(f"{name} {kinds.get(name, 'bigint')}" for name in counts)
+    return tidy(inline(spark, [tuple(counts.values())], schema))
 
 
 @query(f"""WITH {_DIRTY_SQL}, s AS (SELECT prefecture AS raw, count(*) AS n FROM dirty GROUP BY 1)
@@ -307,3 +301,47 @@ def date_failures(spark, sf):
             F.min("d").alias("first"), F.max("d").alias("last"),
         )
     )
+
+
+@query("""SELECT strftime(ts, '%Y-%m') AS month, count(DISTINCT user_id) AS users, count(DISTINCT event_id) AS events,
+  CAST(1 AS BIGINT) AS users_within, CAST(1 AS BIGINT) AS events_within FROM events GROUP BY 1""")
+def distinct_from_daily_sketches(spark, sf):
+    """Monthly distinct counts, exact, and whether those merged from stored daily sketches keep their bound."""
+    ev = events(spark, sf).select("day", "user_id", "event_id")
+    columns = ["user_id", "event_id"]
+    daily = materialise(sketches.distinct_sketches(ev, columns, ["day"]), "daily-sketches")
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    near = sketches.merged_distinct(daily, columns, [month])
+    exact = ev.groupBy(month).agg(F.count_distinct("user_id").alias("users"), F.count_distinct("event_id").alias("events"))
+    within = lambda a, b: F.abs(F.col(a) - F.col(b)) <= sketches.distinct_error() * F.col(b)
+    both = exact.join(near, "month")
+    return tidy(both.select("month", "users", "events", within("user_id", "users").alias("users_within"), within("event_id", "events").alias("events_within")))
+
+
+@query("""SELECT event_type AS kind, count(value) AS n, CAST(1 AS BIGINT) AS median_within, CAST(1 AS BIGINT) AS p90_within
+  FROM events GROUP BY 1""")
+def quantiles_from_daily_sketches(spark, sf):
+    """Whether the median and 90 % values per kind, merged from stored daily sketches, have ranks within their bound."""
+    ev = events(spark, sf).select("day", "kind", "value")
+    daily = materialise(sketches.quantile_sketches(ev, "value", ["day", "kind"]), "daily-sketches")
+    near = sketches.merged_quantiles(daily, {"median": 0.5, "p90": 0.9}, ["kind"])
+    x, eps = F.col("value"), sketches.rank_error()
+    marked = ev.where(x.isNotNull()).join(near.drop("n"), "kind")
+    ranks = marked.groupBy("kind").agg(
+        F.count("*").alias("n"),
+        *[f(F.when(c, 1.0).otherwise(0.0)).alias(f"{q}_{end}") for q in ("median", "p90") for f, c, end in ((F.avg, x < F.col(q), "low"), (F.avg, x <= F.col(q), "high"))],
+    )
+    # the ranks that a value takes up run from the rows below it to the rows up to it
+    within = lambda q, p: (F.col(f"{q}_low") <= p + eps) & (F.col(f"{q}_high") >= p - eps)
+    return tidy(ranks.select("kind", "n", within("median", 0.5).alias("median_within"), within("p90", 0.9).alias("p90_within")))
+
+
+@query("""SELECT 'user_id' AS "column", CAST(1 AS BIGINT) AS within FROM events UNION SELECT 'event_type', CAST(1 AS BIGINT) FROM events
+  UNION SELECT 'ts', CAST(1 AS BIGINT) FROM events UNION SELECT 'value', CAST(1 AS BIGINT) FROM events""")
+def approximate_profile(spark, sf):
+    """Distinct counts of an audit in approximate mode, beside the exact ones: is each within the bound?"""
+    ev, columns = read_parquet(spark, sf, "events"), ["user_id", "event_type", "ts", "value"]
+    near = profile.distinct_counts(ev, columns, approx=True).withColumnRenamed("distinct_values", "near")
+    both = profile.distinct_counts(ev, columns).join(near, "column")
+    off = F.abs(F.col("near") - F.col("distinct_values")) <= sketches.distinct_error() * F.col("distinct_values")
+    return tidy(both.select("column", off.alias("within")))

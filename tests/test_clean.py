@@ -122,3 +122,51 @@ def test_threshold_rule(spark):
     r = outliers.threshold_rule(spark.createDataFrame(rows, "f int, a double, b double"), "f", ["a", "b"]).first()
     assert (r.cut_a, r.cut_b, r.hits, r.true_hits, r.positives) == (20.0, 6.0, 2, 1, 3)
     assert (r.precision, round(r.recall, 4)) == (0.5, 0.3333)
+
+
+def test_reports_of_the_pass_that_writes(spark):
+    done = clean.clean_customers_observed(raw(spark))
+    assert sorted(map(str, done.rows.collect())) == sorted(map(str, clean.clean_customers(raw(spark)).collect()))
+    assert done.changes == {r.rule: r.rows_changed for r in clean.customer_change_log(raw(spark)).collect()}
+    assert done.counts == {
+        "rows_before": 8, "rows_unique": 7, "rows_after": 6, "undated": 1, "ageless": 0, "youngest": 0.0, "oldest": 47.0, "odd_genders": 0,
+    }
+    empty = clean.clean_customers_observed(raw(spark).limit(0))
+    assert empty.counts["rows_before"] == 0 and set(empty.changes.values()) == {0} and empty.rows.count() == 0
+
+
+def test_the_raw_table_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw(spark).write.parquet(path)
+    source = spark.read.schema(RAW).parquet(path)
+    seen = []
+    from tallywork.operators import clean as module
+
+    plain = module.materialise
+
+    def spy(df, purpose):
+        seen.append(df._jdf.queryExecution().executedPlan().toString().count(f"[file:{path}]"))
+        return plain(df, purpose)
+
+    module.materialise, kept = spy, plain
+    try:
+        clean.clean_customers_observed(source)
+    finally:
+        module.materialise = kept
+    assert seen == [1, 0]
+
+
+def test_typed_value_groups(spark):
+    schema = "b boolean, i int, d date, t timestamp_ntz, z timestamp, f float, m decimal(9,2), x binary, a array<int>, s string"
+    moment = dt.datetime(2024, 1, 1, 5)
+    row = (True, 1, dt.date(2024, 1, 1), moment, moment, 0.5, None, b"x", [1], "1")
+    other = (False, 1, None, moment + dt.timedelta(microseconds=1), moment, -0.0, None, b"y", [1, 2], "")
+    df = spark.createDataFrame([row, row, other, (None,) * 10], schema)
+    got = {r.column: (r.rows, r.nulls, r.distinct_values, r.top_count) for r in profile.audit(df, digest=["s"]).collect()}
+    assert got == {
+        "b": (4, 1, 2, 2), "i": (4, 1, 1, 3), "d": (4, 2, 1, 2), "t": (4, 1, 2, 2), "z": (4, 1, 1, 3),
+        "f": (4, 1, 2, 2), "m": (4, 4, 0, None), "x": (4, 1, 2, 2), "a": (4, 1, 2, 2), "s": (4, 1, 2, 2),
+    }
+    exact = {r.column: r.distinct_values for r in profile.distinct_counts(df, df.columns).collect()}
+    near = {r.column: r.distinct_values for r in profile.distinct_counts(df, df.columns, approx=True).collect()}
+    assert exact == near == {k: v[2] for k, v in got.items()}

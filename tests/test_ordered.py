@@ -148,3 +148,34 @@ def test_rows_without_a_first_value_are_cut_by_the_second(spark):
     rows = ordered.with_ranges(df, ["at", "id"]).orderBy("at", "id").collect()
     assert [r.bucket for r in rows] == sorted(r.bucket for r in rows)
     assert len({r.bucket for r in rows if r["at"] is None}) > 3
+
+
+def spread_of(df, order):
+    """Rows per range."""
+    return sorted(r["count"] for r in ordered.with_ranges(df, order).groupBy("bucket").count().collect())
+
+
+def test_ranges_of_a_first_column_without_values(spark):
+    n = 4000
+    df = spark.range(n).repartition(4).select(F.lit(None).cast("double").alias("a"), (F.col("id") * 0.5).alias("b"))
+    sizes = spread_of(df, ["a", "b"])
+    assert sum(sizes) == n and max(sizes) < n / 4
+
+
+def test_ranges_where_one_task_has_no_values(spark):
+    empty = spark.range(0, 1000, 1, 1).select(F.lit(None).cast("double").alias("a"), F.col("id").alias("b"))
+    full = spark.range(0, 3000, 1, 3).select(F.col("id").cast("double").alias("a"), F.col("id").alias("b"))
+    df = empty.unionByName(full)
+    made = ordered.with_ranges(df, ["a", "b"])
+    holes = [r["count"] for r in made.where("a IS NULL").groupBy("bucket").count().collect()]
+    assert sum(holes) == 1000 and max(holes) <= 700 and len(holes) > 2
+
+
+def test_ranges_of_one_value_with_nine_tenths_of_the_rows(spark):
+    n = 5000
+    df = spark.range(n).repartition(4).select(F.when(F.col("id") % 10 > 0, 7.0).otherwise(F.col("id") * 0.1).alias("a"), F.col("id").alias("b"))
+    sizes = spread_of(df, ["a", "b"])
+    assert sum(sizes) == n and max(sizes) < n / 3
+    got = ordered.running(ordered.with_ranges(df, ["a", "b"]), [], ["a", "b"], "bucket").select("position").collect()
+    assert sorted(r.position for r in got) == list(range(1, n + 1))
+
