@@ -7,16 +7,16 @@ where the lost one stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import double
 from ..operators.inference import looks_from_counts
 from ..operators.outliers import SIGMAS
-from ..session import shared_dir
+from ..session import drop_at_exit, shared_dir
 from ..sources.activity import arms, readings, shape_events
-from ..sources.files import read_parquet
+from ..sources.files import inline, read_parquet
 
 FILES_PER_BATCH = 1_000
 _PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
@@ -122,6 +122,7 @@ def settle(stream: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame
         finish(batch).write.mode("overwrite").parquet(f"{base}/result")
 
     replace(spark.createDataFrame([], stream.schema), -1)  # what a stream without events leaves
+    drop_at_exit(spark, base)
     run = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", f"{base}/state")
@@ -133,6 +134,36 @@ def settle(stream: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame
     return spark.read.parquet(f"{base}/result")
 
 
+def upkeep(stream: DataFrame, base: str, by: Sequence[str], sums: Mapping[str, Column], part: str) -> DataFrame:
+    """Bring a table of sums per key up to date with what the stream has, rewriting only what a batch touches.
+
+    No state is kept: each batch writes its own sums to ``base/parts/batch=N`` and then adds up anew, from the parts
+    of all batches, the partitions of ``base/table`` (one per value of the column ``part``, which is one of ``by``)
+    that it has rows of. Both are overwritten as a whole, so a batch that is replayed changes nothing, and a row
+    counts however late it comes. The next run with the same ``base`` goes on where this one stopped.
+    """
+    spark = stream.sparkSession
+    own = stream.groupBy(*by).agg(*[e.alias(n) for n, e in sums.items()]).schema
+
+    def fold(batch: DataFrame, number: int) -> None:
+        mine = batch.groupBy(*by).agg(*[e.alias(n) for n, e in sums.items()])
+        mine.write.mode("overwrite").partitionBy(part).parquet(f"{base}/parts/batch={number}")
+        session = batch.sparkSession
+        parts = session.read.schema(T.StructType([*own.fields, T.StructField("batch", T.LongType())])).parquet(f"{base}/parts")
+        touched = parts.where(F.col("batch") == number).select(F.col(part).alias("_touched")).distinct()
+        whole = parts.join(touched, F.col(part).eqNullSafe(F.col("_touched")), "left_semi").groupBy(*by).agg(*[F.sum(n).alias(n) for n in sums])
+        writer = whole.select(*own.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(part).parquet(f"{base}/table")
+
+    run = stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(fold).trigger(availableNow=True).start()
+    run.awaitTermination()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/table")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return inline(spark, [], own)
+    widened = [T.StructField(f.name, T.DecimalType(38, f.dataType.scale) if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in own.fields]
+    return spark.read.schema(T.StructType(widened)).parquet(f"{base}/table")
+
+
 def drain(stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
     """Run an append-only stream over what is there into Parquet; return the rows written.
 
@@ -155,6 +186,7 @@ def drain(stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
     finally:
         spark.conf.set(_PROGRESS, told)
     run.awaitTermination()
+    drop_at_exit(spark, base)
     if whole:
         late = sum(op["numRowsDroppedByWatermark"] for p in run.recentProgress for op in p["stateOperators"])
         if late:

@@ -110,3 +110,39 @@ def test_replay_of_a_whole_table_loses_no_row(spark, tmp_path, monkeypatch):
         write(spark, folder, [(i, dt.datetime(2024, 1, n), 3, "view", 1.0)])
     with pytest.raises(ValueError, match="behind the watermark"):
         stream_closed_days(spark, folder)
+
+
+def test_only_touched_days_are_rewritten(spark, tmp_path):
+    """Three files in three batches, a late row, a replayed batch; no state."""
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    folder, base = str(tmp_path), str(tmp_path / "kept")
+    sums = {"n": F.count("*"), "amount": F.sum(F.col("value").cast("decimal(15,2)"))}
+
+    def run():
+        days = live.upkeep(live.event_stream(spark, folder), base, ["day", "kind"], sums, "day")
+        return {(r.day.day, r.kind): (r.n, float(r.amount)) for r in days.collect()}
+
+    def files():
+        return {str(p.relative_to(base)) for p in (tmp_path / "kept" / "table").rglob("*.parquet")}
+
+    write(spark, folder, [(1, day(1, 5), 1, "view", 1.0), (2, day(1, 6), 2, "click", 2.0), (3, day(4), 1, "view", 1.5)])
+    assert run() == {(1, "view"): (1, 1.0), (1, "click"): (1, 2.0), (4, "view"): (1, 1.5)}
+    before = files()
+    write(spark, folder, [(4, day(9), 1, "view", 1.0)])
+    run()
+    assert before < files()  # the days of the first batch were left alone
+    write(spark, folder, [(5, day(1, 7), 3, "view", 9.0), (6, day(4), 3, "error", 2.5)])  # the first is a week late
+    want = {(1, "view"): (2, 10.0), (1, "click"): (1, 2.0), (4, "view"): (1, 1.5), (4, "error"): (1, 2.5), (9, "view"): (1, 1.0)}
+    assert run() == want
+    # the last batch runs once more, as after a driver that was lost before it could say that it was done
+    commits = sorted((tmp_path / "kept" / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert run() == want
+    assert not (tmp_path / "kept" / "state" / "state").exists()
+
+
+def test_upkeep_of_an_empty_stream(spark, tmp_path):
+    write(spark, str(tmp_path), [])
+    days = live.upkeep(live.event_stream(spark, str(tmp_path)), str(tmp_path / "kept"), ["day", "kind"], {"n": F.count("*")}, "day")
+    assert days.count() == 0 and days.columns == ["day", "kind", "n"]
