@@ -80,6 +80,16 @@ class WordBpe:
             return array("H", [self.special[chunk]]).tobytes()
         return b"".join(map(self.piece.__getitem__, self.pieces_of(chunk)))
 
+    def _told(self, text: str) -> bytes:
+        """Packed ids of a text, without the caches."""
+        out = []
+        for chunk in self.chunks(text):
+            if chunk in self.special:
+                out.append(array("H", [self.special[chunk]]).tobytes())
+            else:
+                out += map(self._merge_piece, self.pieces_of(chunk))
+        return b"".join(out)
+
     def pieces_of(self, chunk: str) -> list[str]:
         """The parts of a chunk that are merged on their own."""
         if not chunk.isascii():

@@ -39,13 +39,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         bpe = once_per_worker(("batch_bpe", len(data), zlib.crc32(data)), lambda: BatchBpe(WordBpe(data)))
         last = np.array([end], np.uint16).tobytes()
         counts = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            ids = [made + last for made in bpe.packed(batch["text"].tolist())]
-            for text in ids:
-                counts[np.unique(np.frombuffer(text, np.uint16))] += 1
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "doc_tokens": [len(x) // 2 for x in ids], "ids": ids, "term": None, "docs": None,
-            })
+        try:
+            for batch in batches:
+                ids = [made + last for made in bpe.packed(batch["text"].tolist())]
+                for text in ids:
+                    counts[np.unique(np.frombuffer(text, np.uint16))] += 1
+                yield pd.DataFrame({
+                    "doc_id": batch["doc_id"], "doc_tokens": [len(x) // 2 for x in ids], "ids": ids, "term": None, "docs": None,
+                })
+        finally:
+            bpe.release()  # Spark keeps the worker for other tasks
         terms = np.flatnonzero(counts)
         yield pd.DataFrame({"doc_id": None, "doc_tokens": None, "ids": None, "term": terms, "docs": counts[terms]})
 
