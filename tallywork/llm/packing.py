@@ -9,6 +9,7 @@ cut and its rest opens the next window, so only the last window of a shard is no
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -26,8 +27,12 @@ WINDOW = 2048
 END = 1
 SHARD_TOKENS = 1 << 18
 K1, B = 1.2, 0.75
-RANGES = 1 << 11  # ranges of the order that are cut from the driver; each cuts its own shards
+RANGES = 1 << 11  # parts of the order that are cut from the driver
 SAMPLE = 1 << 15  # texts that the order is learnt from
+FAN = 256  # parts that each of these, and each of theirs, is cut into while it is more than a shard
+GROUP_SAMPLE = 1 << 13  # texts that the order of such a part is learnt from
+TASK_SHARDS = 256  # shards that pass through a task while they are cut
+_DEALT = "doc_id string, ids binary, salt bigint, row bigint, group bigint"
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, end: int = END) -> DataFrame:
@@ -131,12 +136,8 @@ def _keys(tree: content_order.Tree, vectors: np.ndarray, least: np.ndarray, grou
     return np.stack([tree.leaves(vectors), least, group["salt"].to_numpy(np.int64), group["row"].to_numpy(np.int64)])
 
 
-def _ranges(encoded: DataFrame, n: int, parts: int, idf: np.ndarray, mean: float) -> DataFrame:
-    """``encoded`` with a column ``range``: ``parts`` ranges of the order by content, of about equal tokens.
-
-    The order is learnt from at most about SAMPLE texts, of which 64 numbers each reach the driver.
-    """
-    share = min(1 << 20, (SAMPLE << 20) // n)
+def _sketched(texts: DataFrame, share: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """The vectors of about ``share`` in 2**20 of the texts, with the group they are in."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -144,36 +145,92 @@ def _ranges(encoded: DataFrame, n: int, parts: int, idf: np.ndarray, mean: float
                 vectors, least = _sketches(batch["ids"].tolist(), idf, mean)
                 tokens = batch["ids"].str.len() // 2
                 yield pd.DataFrame({
-                    "salt": batch["salt"], "row": batch["row"], "least": least, "tokens": tokens, "vector": [v.tobytes() for v in vectors],
+                    "group": batch["group"], "salt": batch["salt"], "row": batch["row"], "least": least, "tokens": tokens,
+                    "vector": [v.tobytes() for v in vectors],
                 })
 
-    picked = encoded.where(F.pmod(F.xxhash64(F.lit("pick"), "salt", "row"), F.lit(1 << 20)) < share)
-    seen = picked.mapInPandas(sketch, "salt bigint, row bigint, least bigint, tokens bigint, vector binary").toPandas()
+    picked = texts.where(F.pmod(F.xxhash64(F.lit("pick"), "group", "salt", "row"), F.lit(1 << 20)) < share)
+    return picked.mapInPandas(sketch, "group bigint, salt bigint, row bigint, least bigint, tokens bigint, vector binary")
+
+
+def _learned(seen: pd.DataFrame, parts: int) -> tuple[content_order.Tree, np.ndarray]:
+    """An order learnt from some texts, and where it is cut into ``parts`` parts of about equal tokens."""
     seen = seen.sort_values(["salt", "row"], kind="stable")
     vectors = np.frombuffer(b"".join(seen["vector"]), np.float32).reshape(-1, content_order.DIM)
     tokens = seen["tokens"].to_numpy(np.int64)
     tree = content_order.grow(vectors, tokens, tokens.sum() / parts / 4)
-    cuts = content_order.cut(tree, _keys(tree, vectors, seen["least"].to_numpy(np.int64), seen), tokens, parts)
+    return tree, content_order.cut(tree, _keys(tree, vectors, seen["least"].to_numpy(np.int64), seen), tokens, parts)
+
+
+def _first_level(texts: DataFrame, n: int, parts: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """``texts`` in ``parts`` groups of the order by content, of about equal tokens.
+
+    The order is learnt from at most about SAMPLE texts, of which 64 numbers each reach the driver.
+    """
+    tree, cuts = _learned(_sketched(texts, min(1 << 20, (SAMPLE << 20) // n), idf, mean).toPandas(), parts)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 keys = _keys(tree, *_sketches(batch["ids"].tolist(), idf, mean), batch)
-                yield batch.assign(range=content_order.place(keys, cuts))
+                yield batch.assign(group=content_order.place(keys, cuts))
 
-    return encoded.mapInPandas(deal, "doc_id string, ids binary, salt bigint, row bigint, range bigint")
+    return texts.mapInPandas(deal, _DEALT)
 
 
-def _shards(group: pd.DataFrame, shard_tokens: int, idf: np.ndarray, mean: float) -> np.ndarray:
-    """Shard of each text of a range, by the same kind of order over all its texts."""
-    tokens = (group["ids"].str.len() // 2).to_numpy(np.int64)
-    parts = max(1, round(int(tokens.sum()) / shard_tokens))
-    if parts == 1:
-        return np.zeros(len(group), np.int64)
-    vectors, least = _sketches(group["ids"].tolist(), idf, mean)
-    tree = content_order.grow(vectors, tokens, shard_tokens / 4)
-    keys = _keys(tree, vectors, least, group)
-    return content_order.place(keys, content_order.cut(tree, keys, tokens, parts))
+def _next_level(texts: DataFrame, n: int, groups: int, tasks: int, shard_tokens: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """Each group cut into at most FAN groups by an order of its own, learnt from about GROUP_SAMPLE of its texts.
+
+    The orders never leave the executors: the one of a group is a row that comes before the group's texts in each
+    of the ``tasks`` tasks that they are dealt to.
+    """
+    sizes = texts.groupBy("group").agg(F.sum(F.length("ids") / 2).alias("all"))
+    parts = F.least(F.lit(FAN), F.greatest(F.lit(1), F.round(F.col("all") / shard_tokens))).cast("int").alias("parts")
+    seen = _sketched(texts, min(1 << 20, (GROUP_SAMPLE * groups << 20) // n), idf, mean)
+    seen = seen.join(sizes.select("group", parts), "group").where("parts > 1")
+
+    def learn(group: pd.DataFrame) -> pd.DataFrame:
+        tree, cuts = _learned(group, int(group["parts"].iloc[0]))
+        return pd.DataFrame({"group": group["group"].iloc[:1], "ids": [pickle.dumps((tuple(tree), cuts))]})
+
+    orders = seen.groupBy("group").applyInPandas(learn, "group bigint, ids binary")
+    orders = orders.select(
+        F.lit(None).cast("string").alias("doc_id"), "ids", F.lit(0).cast("bigint").alias("salt"), F.lit(-1).cast("bigint").alias("row"), "group",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tasks - 1).cast("bigint"))).alias("task"),
+    )
+    both = orders.unionByName(texts.withColumn("task", F.pmod("salt", F.lit(tasks))))
+    both = both.repartition("group", "task").sortWithinPartitions("group", "task", "row")
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, tree, cuts = None, None, None
+        for batch in batches:
+            for group, part in batch.groupby("group", sort=False):
+                if group != now:
+                    now, tree = group, None
+                if (order := part["row"].to_numpy() < 0).any():
+                    parts, cuts = pickle.loads(part["ids"].to_numpy()[order][-1])
+                    tree = content_order.Tree(*parts)
+                    part = part[~order]
+                if not len(part):
+                    continue
+                place = 0 if tree is None else content_order.place(_keys(tree, *_sketches(part["ids"].tolist(), idf, mean), part), cuts)
+                yield part.assign(group=group * FAN + place)[["doc_id", "ids", "salt", "row", "group"]]
+
+    return both.mapInPandas(deal, _DEALT)
+
+
+def _sharded(texts: DataFrame, n: int, shards: int, shard_tokens: int, idf: np.ndarray, mean: float) -> DataFrame:
+    """``texts`` with their shard as ``group``: cut once into RANGES parts at most, and these again until each is a shard."""
+    texts = texts.withColumn("group", F.lit(0).cast("bigint"))
+    if shards == 1:
+        return texts
+    groups = min(shards, RANGES)
+    texts = _first_level(texts, n, groups, idf, mean)
+    while groups < shards:
+        texts = written(texts, "dealt")
+        texts = _next_level(texts, n, groups, max(1, shards // groups // TASK_SHARDS), shard_tokens, idf, mean)
+        groups *= FAN
+    return texts
 
 
 def pack(
@@ -185,9 +242,8 @@ def pack(
     ``ids`` are the ids of the piece as little-endian unsigned 32-bit numbers. Every id of every text lies in
     exactly one piece; a sequence has no gaps. NULL and empty texts consist of the end id. Rows with equal or
     NULL ids are packed like any others. The number of shards grows with the tokens; a text longer than a
-    shard is still one row. A task holds one range, a shard or (beyond RANGES shards) the shards of a part of the
-    order. Document frequencies, one number per entry of the vocabulary, two totals, and the vectors of at most
-    about SAMPLE texts reach the driver.
+    shard is still one row. A task packs one shard at a time, however many there are. Document frequencies, one
+    number per entry of the vocabulary, two totals, and the vectors of at most about SAMPLE texts reach the driver.
     """
     made = written(encode(docs, id_col, text_col, path, end), "encoded")
     encoded = made.where("ids is not null").select("doc_id", "doc_tokens", "ids")
@@ -202,25 +258,17 @@ def pack(
     shards = max(1, -(-tokens // shard_tokens))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "ids"], kind="stable").reset_index(drop=True)
-        rows = []
-        for k, part in group.groupby(_shards(group, shard_tokens, idf, mean)):
-            texts = [np.frombuffer(b, np.uint16) for b in part["ids"]]
-            shard, ids = (int(group["range"].iloc[0]) << 20) + int(k), part["doc_id"].tolist()
-            rows += [
-                (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
-                for t, start, length, seq, offset in fill(texts, Index(texts, idf, mean), window)
-            ]
+        group = group.sort_values(["doc_id", "ids"], kind="stable")
+        texts = [np.frombuffer(b, np.uint16) for b in group["ids"]]
+        shard, ids = int(group["group"].iloc[0]), group["doc_id"].tolist()
+        rows = [
+            (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
+            for t, start, length, seq, offset in fill(texts, Index(texts, idf, mean), window)
+        ]
         return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    dealt = encoded.select(
-        "doc_id", "ids", F.xxhash64("doc_id", "ids").alias("salt"), F.monotonically_increasing_id().alias("row")
-    )
-    if shards == 1:
-        dealt = dealt.withColumn("range", F.lit(0))
-    else:
-        dealt = _ranges(dealt, n, min(shards, RANGES), idf, mean)
-    pieces = dealt.groupBy("range").applyInPandas(
+    texts = encoded.select("doc_id", "ids", F.xxhash64("doc_id", "ids").alias("salt"), F.monotonically_increasing_id().alias("row"))
+    pieces = _sharded(texts, n, shards, shard_tokens, idf, mean).groupBy("group").applyInPandas(
         run, "doc_id string, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
     )
     kind = docs.schema[id_col].dataType

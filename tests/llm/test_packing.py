@@ -65,6 +65,9 @@ def test_neighbours_share_windows(spark):
 def test_shards_hold_the_neighbours(spark, monkeypatch, ranges):
     """The nearest texts by brute-force BM25 over all texts lie in the seed's shard, copies among them."""
     monkeypatch.setattr(packing, "RANGES", ranges, raising=False)
+    if ranges == 5:  # three levels
+        monkeypatch.setattr(packing, "FAN", 3)
+        monkeypatch.setattr(packing, "TASK_SHARDS", 2)
     rng = random.Random(9)
     common = words(rng, 40)
     topics = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(40)] for _ in range(60)]
@@ -74,6 +77,10 @@ def test_shards_hold_the_neighbours(spark, monkeypatch, ranges):
     check_pieces(pieces, texts)
     shard = {p.doc_id: p.sequence_id >> 32 for p in pieces}
     assert len(set(shard.values())) > 20
+    held = {}
+    for p in pieces:
+        held[p.sequence_id >> 32] = held.get(p.sequence_id >> 32, 0) + p.length
+    assert max(held.values()) < 3 * 4000
     own = bpe.WordBpe(bpe.read_vocabulary())
     ids = [np.array([*own.encode(t), 1], "<u2") for t in texts]
     found = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=1 << 16)
