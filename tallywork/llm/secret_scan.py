@@ -1,8 +1,9 @@
 """Secret scans: patterns, and literals that source or configuration text assigns to sensitive names.
 
-Assignments are lexed into name-literal pairs. A name that stands on the right side is replaced by the
-literal it was given earlier in the same text (constants propagate), and each literal is scored by the
-name it ends up in.
+Assignments are lexed into name-literal pairs. A name that stands on the right side stands for what it was given
+earlier in the same text (constants propagate), and each literal is scored by the most sensitive name it ends up
+in. References point backwards only, so one walk over the assignments from the last to the first finds these names,
+however often constants are joined.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ SENSITIVE = {
     "signingkey": 1.0, "encryptionkey": 1.0, "connectionstring": 0.8, "pass": 0.7, "pin": 0.5, "key": 0.4,
 }
 HARMLESS = {"public", "length", "size", "count", "max", "min", "type", "name", "url", "path", "file", "id", "ttl"}
+PHRASES = {"password", "passwd", "pwd", "passphrase"}  # targets whose literal may be several words
 PLACEHOLDERS = {"true", "false", "null", "none", "nil", "undefined", "changeme", "example", "placeholder", "redacted"}
 THRESHOLD = 0.5
 
@@ -55,6 +57,14 @@ _TERM = re.compile(
     r"""[ \t]*(?:(?P<quote>["'`])(?P<text>(?:\\.|(?!(?P=quote))[^\\\n])*)(?P=quote)"""
     r"""|\$?\{?(?P<bare>[^\s"'`,;#(){}\[\]<>]+)\}?)"""
 )
+# a value on the line below its name, and nothing else on that line
+_BELOW = re.compile(r"""[ \t]*(?:[|>][+-]?|\\)?[ \t]*\r?\n[ \t]+(?=(?:"[^"\n]*"|'[^'\n]*'|[^\s"'`:=,;#(){}\[\]<>]+)[ \t]*[,;]?[ \t]*(?:\r?\n|\Z))""")
+_PLUS = re.compile(r"[ \t]*\+")
+# a tag whose attributes are a name and its value, and an element with its text
+_ATTRIBUTES = re.compile(
+    r"""<[^<>]{0,200}?\b(?:key|name|id)[ \t]*=[ \t]*["']([^"'<>\n]{1,100})["'][^<>]{0,300}?\bvalue[ \t]*=[ \t]*(?:"([^"<>\n]*)"|'([^'<>\n]*)')"""
+)
+_ELEMENT = re.compile(r"""<([A-Za-z_][\w.\-]{0,80})(?:[ \t][^<>]{0,200})?>[ \t]*([^<>\s](?:[^<>\n]{0,400}[^<>\s])?)[ \t]*</\1>""")
 _TYPE_END = re.compile(r"""(?:<[^<>=\n]*>|\[\])*[ \t]*=[ \t]*["'`]""")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _LOOK_BACK = 200
@@ -69,19 +79,34 @@ def name_weight(name: str) -> float:
     return max((SENSITIVE.get(w, 0.0) for w in words + pairs + ["".join(words)]), default=0.0)
 
 
-def literal_weight(text: str) -> float:
-    """How much a literal looks like a secret: no placeholder, no prose, not too uniform."""
+def literal_weight(text: str, phrase: bool = False) -> float:
+    """How much a literal looks like a secret: no placeholder, no prose, not too uniform.
+
+    ``phrase`` says that a few words without the end of a sentence may be one, if there is a digit among them.
+    """
     low = text.lower()
-    if len(text) < MIN_VALUE or any(c.isspace() for c in text) or low in PLACEHOLDERS or len(set(low)) < 4:
+    if len(text) < MIN_VALUE or low in PLACEHOLDERS or len(set(low)) < 4:
         return 0.0
+    if any(c.isspace() for c in text):
+        fits = phrase and len(text.split()) <= 8 and any(c.isdigit() for c in text) and text.rstrip()[-1] not in ".!?:"
+        return 0.7 if fits else 0.0
     bits = -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
     mixed = any(c.isdigit() for c in text) or bits >= 3.5
     return min(1.0, bits / 3.0) if mixed else 0.4 * min(1.0, bits / 3.0)
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """(target name, literals as spans) in order, constants replaced by what they were given."""
-    known: dict[str, list[tuple[int, int]]] = {}
+class Assignment(NamedTuple):
+    """A target with the literals given to it as spans, and the earlier assignments (numbers) whose values it takes."""
+
+    name: str
+    literals: list[tuple[int, int]]
+    taken: list[int]
+
+
+def flows(text: str) -> list[Assignment]:
+    """All assignments of source or configuration text, in order."""
+    out: list[Assignment] = []
+    known: dict[str, int] = {}
     at = 0
     for mark in re.finditer(r":=|=>|[:=]", text):
         if mark.start() < at or text[mark.end() : mark.end() + 1] == "=":
@@ -94,26 +119,69 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
             name = _TYPED.search(before) or _DECLARED.search(before) or name
         if not name:
             continue
-        parts: list[tuple[int, int]] = []
+        literals: list[tuple[int, int]] = []
+        taken: dict[int, None] = {}
         end = mark.end()
+        below = _BELOW.match(text, end)
+        if below:
+            end = below.end()
         while term := _TERM.match(text, end):
             if term["quote"]:
                 if term.start("text") < term.end("text"):
-                    parts.append(term.span("text"))
+                    literals.append(term.span("text"))
             elif term["bare"] in known:
-                parts += known[term["bare"]]
+                taken[known[term["bare"]]] = None
             elif name := name if not term["bare"].startswith("//") else None:
-                parts.append(term.span("bare"))
+                literals.append(term.span("bare"))
             end = term.end()
-            plus = re.compile(r"[ \t]*\+").match(text, end)
+            plus = _PLUS.match(text, end)
             if not plus or not term["quote"] and term["bare"] not in known:
                 break
             end = plus.end()
-        if name and parts:
-            known[name[1]] = parts
-            yield name[1], parts
+        if name and (literals or taken):
+            known[name[1]] = len(out)
+            out.append(Assignment(name[1], literals, list(taken)))
             if text[mark.end() : end].lstrip()[:1] in ("'", '"', "`"):
                 at = end
+    if "</" in text or "/>" in text:
+        for found in _ATTRIBUTES.finditer(text):
+            out.append(Assignment(found[1], [found.span(2 if found[2] is not None else 3)], []))
+        out += [Assignment(found[1], [found.span(2)], []) for found in _ELEMENT.finditer(text)]
+    return out
+
+
+def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """(target name, distinct literals as spans) in order, constants replaced by what they were given."""
+    nodes = flows(text)
+    for i, node in enumerate(nodes):
+        parts, seen, todo = dict.fromkeys(node.literals), {i}, list(node.taken)
+        while todo:
+            j = todo.pop()
+            if j not in seen:
+                seen.add(j)
+                parts.update(dict.fromkeys(nodes[j].literals))
+                todo += nodes[j].taken
+        yield node.name, list(parts)
+
+
+def _is_phrase(name: str) -> bool:
+    return any(w.lower() in PHRASES for w in _WORD.findall(name))
+
+
+def literal_scores(text: str) -> dict[tuple[int, int], float]:
+    """Score of each literal: its own weight times that of the most sensitive name that it reaches."""
+    nodes = flows(text)
+    weight = [name_weight(n.name) for n in nodes]
+    phrase = [w > 0 and _is_phrase(n.name) for n, w in zip(nodes, weight)]
+    scores: dict[tuple[int, int], float] = {}
+    for i in reversed(range(len(nodes))):  # whatever takes a value comes after it
+        for j in nodes[i].taken:
+            weight[j], phrase[j] = max(weight[j], weight[i]), phrase[j] or phrase[i]
+        if weight[i] > 0:
+            for part in nodes[i].literals:
+                score = weight[i] * literal_weight(text[slice(*part)], phrase[i])
+                scores[part] = max(scores.get(part, 0.0), score)
+    return scores
 
 
 def scan(text: str | None) -> list[Span]:
@@ -121,7 +189,7 @@ def scan(text: str | None) -> list[Span]:
     if not text:
         return []
     found = []
-    low = text.lower() if ":" in text or "=" in text else ""
+    low = text.lower() if ":" in text or "=" in text or "</" in text else ""
     if any(w in low for w in ("passw", "secret", "token", "api")):
         for m in ASSIGN.finditer(text):
             if len(m[2]) >= MIN_VALUE:
@@ -130,14 +198,7 @@ def scan(text: str | None) -> list[Span]:
         found += [Span("access", m.start(), m.end(), m.start()) for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     found += [Span("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
     if low:
-        literals = {
-            part
-            for name, parts in assignments(text)
-            if (weight := name_weight(name)) > 0
-            for part in parts
-            if weight * literal_weight(text[slice(*part)]) >= THRESHOLD
-        }
-        found += [Span("literal", a, b, a) for a, b in literals]
+        found += [Span("literal", a, b, a) for (a, b), score in literal_scores(text).items() if score >= THRESHOLD]
     return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 

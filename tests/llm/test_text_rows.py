@@ -54,10 +54,35 @@ def test_batches_give_the_same_ids(monkeypatch):
     own = bpe.WordBpe(bpe.read_vocabulary())
     texts = [*odd_texts(600, 8), None, "a" * 3000, "ab" * 2000 + "!" * 500, "é" * 60, *(t for _, t in corpus(2))]
     want = [own.packed(t) for t in texts]
-    assert batch_bpe.BatchBpe(own).packed(texts) == want
-    monkeypatch.setattr(batch_bpe, "TEXTS", 7)
-    monkeypatch.setattr(batch_bpe, "WIDE", 5)
-    assert batch_bpe.BatchBpe(own, room=50).packed(texts) == want and batch_bpe.BatchBpe(own).packed([]) == []
+    assert list(batch_bpe.BatchBpe(own).packed(texts)) == want
+    for name, small in (("BLOCK", 200), ("WIDE", 5), ("ROWS", 16), ("PIECES", 40)):
+        monkeypatch.setattr(batch_bpe, name, small)
+    some = batch_bpe.BatchBpe(own)
+    assert list(some.packed(texts)) == want and list(some.packed([])) == []
+    some.release()
+    assert list(some.packed(texts)) == want
+
+
+def test_a_batch_of_many_different_words_stays_small():
+    """1,500 texts of 4,000 different words each, in a process of its own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource
+from tallywork.llm import batch_bpe, bpe
+own = batch_bpe.BatchBpe(bpe.WordBpe(bpe.read_vocabulary()))
+list(own.packed(["warm up"]))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+tokens = 0
+for i in range(1500):
+    tokens += sum(map(len, own.packed([" ".join(f"w{i * 4000 + k:x}q" for k in range(4000))]))) // 2
+assert tokens > 6_000_000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd=__file__.rsplit("/tests/", 1)[0])
+    assert done.returncode == 0, done.stderr
+    assert int(done.stdout) < 160  # MB
 
 
 def test_bpe_rows(spark, library):
@@ -252,6 +277,69 @@ def test_assignments_follow_constants():
     assert {text[slice(*p)] for _, ps in secret_scan.assignments(text) for p in ps} >= {"harmless value", "k9x2m4q8w1"}
 
 
+def test_constants_joined_again_and_again():
+    """Sixty lines that each say the one before twice, and a chain that every literal passes along."""
+    doubling = 'x0 = "hunter2xyz9"\n' + "".join(f"x{i} = x{i - 1} + x{i - 1}\n" for i in range(1, 61)) + "password = x60\n"
+    spans = [s for s in secret_scan.scan(doubling) if s.kind == "literal"]
+    assert [doubling[s.start : s.end] for s in spans] == ["hunter2xyz9"]
+    chain = "c0 = 'k0v9x2m4q8'\n" + "".join(f"c{i} = c{i - 1} + 'k{i}v9x2m4q8'\n" for i in range(1, 3000)) + "api_secret = c2999\n"
+    assert sum(s.kind == "literal" for s in secret_scan.scan(chain)) == 3000
+
+
+def test_values_in_configuration_syntax():
+    found = {
+        'password => "my long pass phrase 1"': "my long pass phrase 1",
+        "token:\n    k9x2m4q8w1zz\nnext: 1": "k9x2m4q8w1zz",
+        "client_secret: >-\n  'k9x2m4q8w1zz'\n": "k9x2m4q8w1zz",
+        '<add key="ApiKey" value="k9x2m4q8w1zz"/>': "k9x2m4q8w1zz",
+        "<password>hunter2xyz9</password>": "hunter2xyz9",
+        '<param name="db.password" type="x" value=\'hunter2xyz9\' />': "hunter2xyz9",
+    }
+    for text, literal in found.items():
+        assert {text[s.start : s.end] for s in secret_scan.scan(text) if s.kind == "literal"} == {literal}, text
+    for plain in (
+        "token:\n  name: k9x2m4q8w1zz\n", 'password: "Please enter your password 2 times."', "<p>password</p>", "<name>k9x2m4q8w1</name>",
+        '<add key="PageSize" value="k9x2m4q8w1zz"/>', "the token:\n\n  ", 'title = "a long title 1"',
+    ):
+        assert not [s for s in secret_scan.scan(plain) if s.kind == "literal"], plain
+    # tags without end do not take time without end
+    secret_scan.scan('<a key="x" ' * 20_000 + "/>")
+
+
+def brute_scores(text):
+    """Every way from a literal to a name, tried one by one."""
+    nodes = secret_scan.flows(text)
+    out = {}
+
+    def reach(i, names):
+        for j, n in enumerate(nodes):
+            if i in n.taken:
+                names.add(n.name)
+                reach(j, names)
+        return names
+
+    for i, node in enumerate(nodes):
+        names = reach(i, {node.name})
+        weight = max(map(secret_scan.name_weight, names))
+        phrase = any(secret_scan.name_weight(n) > 0 and secret_scan._is_phrase(n) for n in names)
+        for part in node.literals:
+            if weight > 0:
+                out[part] = max(out.get(part, 0.0), weight * secret_scan.literal_weight(text[slice(*part)], phrase))
+    return out
+
+
+def test_scores_follow_every_way_to_a_name():
+    rng = random.Random(11)
+    names = ["a", "b", "password", "token", "api_key", "public_key", "url", "pin"]
+    for _ in range(300):
+        lines = []
+        for _ in range(rng.randrange(1, 9)):
+            right = [rng.choice([*names, '"k9x2m4q8w1"', '"some words 1"', "'zz'"]) for _ in range(rng.randrange(1, 4))]
+            lines.append(f"{rng.choice(names)} = {' + '.join(right)}")
+        text = "\n".join(lines)
+        assert secret_scan.literal_scores(text) == pytest.approx(brute_scores(text)), text
+
+
 @pytest.mark.parametrize("line", [
     'password: str = "%s"', 'const apiKey: string = "%s";', 'var token string = "%s"', 'let pw_token: Option<String> = "%s";',
     'password: str | None = "%s"', 'def f(password: str = "%s", n: int = 3):', 'static final String API_TOKEN = "%s";', "let secretKey: string[] = '%s'",
