@@ -1,13 +1,16 @@
 """License scans by diagonal voting, in Spark expressions.
 
 Every k-word window of every text meets the windows of the license templates in a join; a hit votes for
-the diagonal ``place in text - place in template``. Votes are counted per text, template and diagonal,
-neighbouring diagonals (a word inserted or left out) are merged, and a span counts when enough of its
-template's windows are found.
+the diagonal ``place in text - place in template``. Votes are sets of template places per text, template and
+diagonal; those of neighbouring diagonals (a word inserted or left out) are united, so a window that is said
+again adds nothing and a span is no longer than its template and a few words. A span counts when enough of its
+template's windows are found and its words, read beside the template, are not too far from it.
 """
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 K = 3
@@ -46,11 +49,12 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 def words(text: Column) -> Column:
     """Words of a text in lower case; NULL has none."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    lower = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
+    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(0))
 
 
 def _windows(spark) -> DataFrame:
-    """(template, label, exact, need, place, gram): every window of every template. Grows with the fixed
+    """(template, label, exact, need, place, gram, whole): every window of every template. Grows with the fixed
     list above only, some hundred short rows."""
     rows, number = [], 0
     for exact, group in ((True, PHRASES), (False, TEMPLATES)):
@@ -59,10 +63,10 @@ def _windows(spark) -> DataFrame:
             n = len(parts) - K + 1
             need = n if exact else max(2, round(COVERAGE * n))
             rows += [
-                f"({number}, '{label}', {exact}, {need}, {i}, split('{' '.join(parts[i : i + K])}', ' '))" for i in range(n)
+                f"({number}, '{label}', {exact}, {need}, {i}, split('{' '.join(parts[i : i + K])}', ' '), '{phrase}')" for i in range(n)
             ]
             number += 1
-    made = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, exact, need, place, gram)")
+    made = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, exact, need, place, gram, whole)")
     return made.withColumn("key", _hash(F.transform("gram", lambda x: F.xxhash64(x))))
 
 
@@ -74,9 +78,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per input row: words, places of the fixed phrases, and labels.
 
     A phrase counts at each place where all its windows lie on one diagonal; other templates need COVERAGE
-    of their windows on diagonals that differ by SLACK words at most. ``score`` is the best covered share of
-    any template found. NULL and empty texts have no words and no labels. Repeated rows and NULL ids are
-    kept apart by a row number.
+    of their windows on diagonals that differ by SLACK words at most, and so much of their letters in the text of
+    that span. ``score`` is the best covered share of any template found. NULL and empty texts have no words and
+    no labels. Repeated rows and NULL ids are kept apart by a row number.
     """
     spark = docs.sparkSession
     base = docs.select(
@@ -89,30 +93,27 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
     # the join is by hash; what it finds is compared word by word
     same = F.slice("w", F.col("at") + 1, K) == F.col("gram")
+    diagonal = F.col("at") - F.col("place")
+    # the words that the template would cover on this diagonal, and a few more
+    beside = F.slice("w", F.greatest(diagonal, F.lit(0)) + 1, F.size(F.split("whole", " ")) + F.least(diagonal, F.lit(0)) + SLACK)
     hits = (
         spots.join(F.broadcast(_windows(spark)), "key", "left")
         .where(F.col("mark") | same)
-        .groupBy("doc_id", "row", "template", "label", "exact", "need", (F.col("at") - F.col("place")).alias("diagonal"))
+        .groupBy("doc_id", "row", "template", "label", "exact", "need", "whole", diagonal.alias("diagonal"))
         .agg(
             F.max("n_words").alias("n_words"),
-            F.count("template").alias("votes"),
+            F.bit_or(F.expr("shiftleft(1L, place)")).alias("places"),
             F.min("at").alias("first"),
-            F.max("at").alias("last"),
+            F.max(F.when(~F.col("exact"), F.array_join(beside, " "))).alias("text"),
         )
     )
-    by_template = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal")
-    gap = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(by_template) > SLACK)
-    spans = (
-        hits.withColumn("cut", F.coalesce(gap, F.lit(True)).cast("int"))
-        .withColumn("run", F.sum("cut").over(by_template.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc_id", "row", "template", "label", "exact", "need", "run")
-        .agg(
-            F.max("n_words").alias("n_words"),
-            F.sum("votes").alias("votes"),
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
-        )
-        .withColumn("found", F.col("template").isNotNull() & (F.col("votes") >= F.col("need")))
+    near = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal").rangeBetween(0, SLACK)
+    votes = F.bit_count(F.when(F.col("exact"), F.col("places")).otherwise(F.bit_or("places").over(near)))
+    # letters to change, but for those that follow a template in a longer text
+    size, more = F.char_length("whole"), F.greatest(F.char_length("text") - F.char_length("whole"), F.lit(0))
+    alike = F.levenshtein(F.col("text"), F.col("whole")) - more <= (1 - COVERAGE) * size
+    spans = hits.withColumn("votes", votes).withColumn(
+        "found", F.coalesce((F.col("votes") >= F.col("need")) & (F.col("exact") | alike), F.lit(False))
     )
     phrase = F.col("found") & F.col("exact")
     label = F.when(F.col("found"), F.col("label"))

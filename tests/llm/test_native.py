@@ -104,6 +104,65 @@ def test_license_method_finds_altered_texts(spark):
     assert got[1].n_base == 0 and got[1].score == 1.0 and 0 < got[2].score <= 1 and got[5].score == 0
 
 
+def brute_labels(text):
+    """Spans by a plain scan: places of a template's windows on diagonals close together, then the letters."""
+    w = re.findall(licenses.WORD, "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    labels, score = set(), 0.0
+    for template, label in licenses.TEMPLATES.items():
+        t = template.split()
+        n = len(t) - licenses.K + 1
+        need = max(2, round(licenses.COVERAGE * n))
+        for d in range(-len(t), len(w)):
+            met = lambda e: {p for p in range(n) if 0 <= e + p and w[e + p : e + p + licenses.K] == t[p : p + licenses.K]}  # noqa: B023, E731
+            if not met(d):
+                continue
+            places = set().union(*(met(d + k) for k in range(licenses.SLACK + 1)))
+            seen = " ".join(w[max(d, 0) : max(d, 0) + len(t) + min(d, 0) + licenses.SLACK])
+            off = edits(seen, template) - max(len(seen) - len(template), 0)
+            if len(places) >= need and off <= (1 - licenses.COVERAGE) * len(template):
+                labels.add(label)
+                score = max(score, min(1.0, len(places) * licenses.COVERAGE / need))
+    return labels, score
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_license_labels_against_a_plain_scan(spark):
+    rng = random.Random(12)
+    rows = [
+        (0, "licensed under the " * 4), (1, "released under the released under the"), (2, "the terms of the " * 6),
+        (3, "under the terms of the gnu " * 30), (4, "this work is licensed under the " * 9 + "gnu"),
+    ]
+    for i in range(60):
+        w = rng.choice(list(licenses.TEMPLATES)).split()
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.randrange(2)] = rng.choice([[], ["really"], ["very", "much"], [w[at]], w[max(at - 3, 0) : at]])
+        rows.append((10 + i, " ".join(words(rng, rng.randrange(9)) + w * rng.choice([1, 1, 2]) + words(rng, rng.randrange(9)))))
+    got = {r.doc_id: r for r in licenses.scan(table(spark, rows)).collect()}
+    for i, text in rows:
+        labels, score = brute_labels(text)
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert set(filter(None, got[i].labels.split(","))) == labels | base, text
+        assert got[i].score == pytest.approx(1.0 if base else score), text
+    assert [got[i].labels for i in range(5)] == [""] * 5
+    assert sum(got[i].labels != "" for i in range(10, 70)) > 30
+
+
+def test_license_in_a_long_text(spark):
+    grant = next(iter(licenses.TEMPLATES))
+    text = "the " * 100_000 + grant + " under the" * 50_000
+    got = licenses.scan(table(spark, [(1, text)])).first()
+    assert (got.n_words, got.n_base, got.first_word, got.labels) == (200_000 + len(grant.split()), 1, 100_001, "mit")
+
+
 def test_license_of_nothing(spark):
     assert licenses.scan(table(spark, [])).count() == 0
 
