@@ -22,13 +22,18 @@ LIMIT = 4096
 SPACE = "▁"
 
 
-class PieceCounter:
-    def __init__(self, data: bytes):
-        import sentencepiece
+def piece_scores(data: bytes) -> dict[str, float]:
+    """Ordinary pieces of a model file and how late each is merged. The file's library is needed on the driver only."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_proto=data)
+    odd = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
+    return {model.id_to_piece(i): -model.get_score(i) for i in range(model.get_piece_size()) if not odd(i)}
 
-        model = sentencepiece.SentencePieceProcessor(model_proto=data)
-        odd = lambda i: model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
-        self.scores = {model.id_to_piece(i): -model.get_score(i) for i in range(model.get_piece_size()) if not odd(i)}
+
+class PieceCounter:
+    def __init__(self, data: bytes | dict[str, float]):
+        self.scores = data if isinstance(data, dict) else piece_scores(data)
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("a piece of this vocabulary crosses a word boundary")
         self.number = {p: i for i, p in enumerate(self.scores.keys() | {c for p in self.scores for c in p})}
@@ -72,10 +77,11 @@ def token_counts(
     strings that look like them are ordinary text.
     """
     data = read_vocabulary(path or vocabulary_file(DEFAULT))
+    name, scores = ("pieces", len(data), zlib.crc32(data)), piece_scores(data)
 
     @F.pandas_udf("bigint")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = once_per_worker(("pieces", len(data), zlib.crc32(data)), lambda: PieceCounter(data))
+        counter = once_per_worker(name, lambda: PieceCounter(scores))
         for batch in batches:
             yield pd.Series([counter.count(t) for t in batch], dtype="int64")
 

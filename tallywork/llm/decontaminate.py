@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .fm_index import FmIndex
-from .store import written
+from .store import Keep, scratch, written
 from .words import gaps_of, words_of
 
 WINDOW = 10  # words
@@ -51,8 +51,10 @@ def _index_row(shard: int, docs: list[tuple], hashes: list[np.ndarray]) -> tuple
     return shard, *told, *(b.tobytes() for b in blobs)
 
 
-def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """A written table with one row per shard: its documents (or parts of them) and its FM-index.
+def build(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = WINDOW, shard_words: int = SHARD_WORDS, keep: Keep = written
+) -> DataFrame:
+    """A table, written by ``keep``, with one row per shard: its documents (or parts of them) and its FM-index.
 
     Words are runs of ASCII letters and digits and of all letters beyond ASCII, A-Z as a-z, told apart by 64 bits of
     hash. Phrases of up to ``longest`` words are found wherever they are. A NULL text has no words; ids may be NULL
@@ -83,7 +85,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", longe
 
     # ids travel as text, since pandas turns whole numbers with NULLs into floats
     plain = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return written(plain.mapInPandas(run, _INDEX), "fm-index")
+    return keep(plain.mapInPandas(run, _INDEX), "fm-index")
 
 
 def _phrases(items: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
@@ -102,9 +104,9 @@ def _phrases(items: DataFrame, item_col: str, text_col: str, window: int) -> Dat
     return plain.mapInPandas(run, "item string, words binary").distinct()
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str, window: int, query_words: int) -> Iterator[pd.DataFrame]:
+def _blocks(items: DataFrame, item_col: str, text_col: str, window: int, query_words: int, keep: Keep) -> Iterator[pd.DataFrame]:
     """The pieces of all items in blocks of at most ``query_words`` words, or one piece."""
-    pieces = written(_phrases(items, item_col, text_col, window), "phrases").withColumn("n", F.length("words") / 8)
+    pieces = keep(_phrases(items, item_col, text_col, window), "phrases").withColumn("n", F.length("words") / 8)
     total = pieces.agg(F.sum("n"), F.max("n")).first()
     if not total[0]:
         return
@@ -220,11 +222,17 @@ def report(
     are told apart by id (NULL as an empty name). NULL texts have no words; repeated rows are reported one by one;
     an empty benchmark finds nothing and an empty table gives no rows.
     """
-    index = build(docs, id_col, text_col, window, shard_words)
-    kind = docs.schema[id_col].dataType
+    with scratch(docs.sparkSession, "decontaminate") as keep:
+        index = build(docs, id_col, text_col, window, shard_words, keep)
+        blocks = _blocks(benchmark, item_col, item_text_col, window, query_words, keep)
+        found = [search(index, block, window) for block in blocks]
+        told = written(_told(index, found), "leaks")
+    return told.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType)).withColumnRenamed("doc_id", id_col)
+
+
+def _told(index: DataFrame, found: list[DataFrame]) -> DataFrame:
+    """What was found in all blocks and parts, beside every document."""
     rows = index.select(F.explode(F.arrays_zip(*_DOCS)).alias("d")).where("d.first = 0").select("d.doc", "d.doc_id", F.col("d.words").alias("n_words"))
-    blocks = _blocks(benchmark, item_col, item_text_col, window, query_words)
-    found = [search(index, block, window) for block in blocks]
     if not found:
         found = [index.sparkSession.createDataFrame([], "doc bigint, begins array<bigint>, ends array<bigint>, items array<string>")]
     met = reduce(DataFrame.unionAll, found).groupBy("doc").agg(
@@ -243,7 +251,7 @@ def report(
     met = met.select("doc", merged.alias("m"), "items")
     n_hit = F.coalesce("m.n", F.lit(0)).cast("bigint")
     return rows.join(met, "doc", "left").select(
-        F.col("doc_id").cast(kind).alias(id_col),
+        "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce(F.array_size("items"), F.lit(0)).cast("bigint").alias("n_items"),

@@ -8,7 +8,7 @@ from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallywork.session import shared_dir
+from tallywork.session import drop_at_exit, shared_dir
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -36,8 +36,14 @@ def _store(df: DataFrame, path: str) -> DataFrame:
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table once and read it back, so that later jobs neither repeat nor depend on its lineage."""
-    return _store(df, shared_dir(df.sparkSession, purpose))
+    """Write a table once and read it back, so that later jobs neither repeat nor depend on its lineage.
+
+    It is deleted when the driver ends: the caller's result may read it until then.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    made = _store(df, path)
+    drop_at_exit(df.sparkSession, path)
+    return made
 
 
 @contextmanager
