@@ -25,6 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallywork.operators.tables import spread_join
+
 from .components import components
 from .store import Keep, scratch, written
 from .words import mix, shingle_set, words_of
@@ -42,6 +44,12 @@ COLUMNS = 4096  # tokens looked at together when blocks are compared
 _KEY = 12  # bytes of a set's fingerprint
 _LOW = np.uint64((1 << 48) - 1)
 _MOST = 65535
+_BITS = 30  # of a range's number
+
+
+def _deal(keys: np.ndarray) -> np.ndarray:
+    """A number below 2**32 for each set, by its key."""
+    return np.ascontiguousarray(keys[:, :4]).view("<u4").ravel().astype(np.int64)
 
 
 def slack(n, percent: int = PERCENT):
@@ -130,18 +138,20 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
             place = (tokens >> shift).astype(np.int32)
             rows = list(blocks_of(place[rest], owner[rest], tokens[rest], keys, sizes))
             if known.any():
-                deal = keys[:, 0].astype(np.int64) | keys[:, 1].astype(np.int64) << 8
+                deal = _deal(keys)
                 rows += blocks_of(ranges + deal[owner[known]] % ranges, owner[known], tokens[known], keys, sizes)
             for i in range(0, len(rows), 1024):
                 yield pd.DataFrame(rows[i : i + 1024], columns=["range", "keys", "sizes", "tokens"])
 
-    return texts.mapInPandas(run, "range int, keys binary, sizes binary, tokens binary")
+    return texts.mapInPandas(run, "range bigint, keys binary, sizes binary, tokens binary")
 
 
 def _shared(postings: DataFrame, bits: int) -> DataFrame:
     """Blocks (bundle, keys, sizes, tokens, sets): for the sets of a bundle, the tokens that each shares in one
-    range and the number of sets of each token. Sets are dealt to bundles by their key."""
-    ranges = 1 << bits
+    range and the number of sets of each token. Sets are dealt to bundles by their key.
+
+    A token goes on as the first 16 bits (or as many as say its range) and the last 48 of its hash."""
+    ranges, head = 1 << bits, min(bits, 16)
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         at = int(group["range"].iloc[0])
@@ -162,7 +172,7 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
         del wide, wanted
         if at >= ranges:
             many = np.full(len(tokens), _MOST, np.int64)
-            tokens = ((tokens >> np.uint64(64 - bits)) << np.uint64(48)) | (tokens & _LOW)
+            tokens = ((tokens >> np.uint64(64 - head)) << np.uint64(48)) | (tokens & _LOW)
         else:
             order = np.argsort(tokens)
             tokens, owner = tokens[order], owner[order]
@@ -170,8 +180,8 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
             runs = np.diff(starts, append=len(tokens))
             many = np.repeat(runs, runs)
             more = many > 1
-            tokens, owner, many = tokens[more] | np.uint64(at << 48), owner[more], many[more]
-        bundle = ((keys[:, 0].astype(np.int64) | keys[:, 1].astype(np.int64) << 8) % ranges)[owner]
+            tokens, owner, many = tokens[more] | np.uint64(at >> (bits - head) << 48), owner[more], many[more]
+        bundle = (_deal(keys) % ranges)[owner]
         order = np.lexsort((owner, bundle))
         tokens, owner, many, bundle = tokens[order], owner[order], many[order], bundle[order]
         many = np.minimum(many, _MOST).astype("<u2")
@@ -186,7 +196,7 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
             rows.append((int(bundle[a]), *told))
         return pd.DataFrame(rows, columns=["bundle", "keys", "sizes", "tokens", "sets"])
 
-    return postings.groupBy("range").applyInPandas(count, "bundle int, keys binary, sizes binary, tokens binary, sets binary")
+    return postings.groupBy("range").applyInPandas(count, "bundle bigint, keys binary, sizes binary, tokens binary, sets binary")
 
 
 def _alive(answers: DataFrame, percent: int) -> DataFrame:
@@ -306,6 +316,11 @@ def _verified(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
     return held.where(check("a_tokens", "b_tokens", "a_size", "b_size")).select("a", "b")
 
 
+def _beside(members: DataFrame, few: DataFrame) -> DataFrame:
+    """Members of buckets with the row of their bucket; a crowded bucket is spread by its size."""
+    return spread_join(members, few, ["sig"], members.select("sig", F.lit(1).alias("one")), "one")
+
+
 def _labelled(buckets: DataFrame, labels: DataFrame, keep: Keep) -> DataFrame:
     """Members of the buckets that still hold several components."""
     told = buckets.join(labels, buckets["set"] == labels["id"], "left").select(
@@ -313,7 +328,7 @@ def _labelled(buckets: DataFrame, labels: DataFrame, keep: Keep) -> DataFrame:
     )
     told = keep(told, "members")
     mixed = told.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    return told.join(mixed.where("least < most").select("sig"), "sig")
+    return _beside(told, mixed.where("least < most").select("sig"))
 
 
 def _labels(buckets: DataFrame, records: DataFrame, percent: int, rounds: int, keep: Keep) -> DataFrame:
@@ -334,7 +349,7 @@ def _labels(buckets: DataFrame, records: DataFrame, percent: int, rounds: int, k
         if left.isEmpty():
             return labels
         lead = left.groupBy("sig").agg(F.min(F.struct("set", "size", "shared", "component")).alias("lead"))
-        told = left.join(keep(lead, "leaders"), "sig")
+        told = _beside(left, keep(lead, "leaders"))
         pairs = told.where(
             (F.col("set") > F.col("lead.set"))
             & (F.col("component") != F.col("lead.component"))
@@ -410,7 +425,7 @@ def _settled(left: DataFrame, records: DataFrame, percent: int, keep: Keep) -> D
 
 def _grouped(
     docs: DataFrame, id_col: str, text_col: str, n: int = N, percent: int = PERCENT,
-    hot: int = HOT, rare: int = RARE, range_tokens: int = RANGE_TOKENS, rounds: int = STAR_ROUNDS,
+    hot: int = HOT, rare: int = RARE, range_tokens: int = RANGE_TOKENS, rounds: int = STAR_ROUNDS, least_bits: int = 4,
 ) -> DataFrame:
     """One row per input row: (id, size, key, component, component_id); components are numbers of their own."""
     texts = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -426,7 +441,7 @@ def _grouped(
         # at most ``hot`` tokens can make up that part of all tokens each
         often = common.where(F.col("sets") >= max(MIN_HOT, total // hot + 1)).select("token")
         known = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-        bits = min(16, max(4, (total // range_tokens).bit_length()))
+        bits = min(_BITS, max(least_bits, (total // range_tokens).bit_length()))
 
         alive = _alive(_shared(_postings(texts, n, bits, known), bits), percent)
         records = keep(alive.join(sets.select("key", "set"), "key").drop("key"), "records")

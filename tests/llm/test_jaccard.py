@@ -62,6 +62,14 @@ def test_null_and_repeated_ids(spark):
     )
 
 
+def test_more_ranges_than_sixteen_bits_name(spark):
+    base = " ".join(words(random.Random(2), 24))
+    rows = [(i, f"{base} {'x' * i}") for i in range(4)] + [(9, "a b c d e f g h i"), (8, "a b c d e f g h i j"), (7, None)]
+    for hot in (jaccard.HOT, 1):
+        got = jaccard.groups(table(spark, rows), least_bits=18, hot=hot)
+        assert told(got) == sorted(brute(rows), key=str)
+
+
 def test_empty_table(spark):
     df = jaccard.groups(table(spark, []))
     assert df.columns == ["doc_id", "n_shingles", "component_id"] and df.count() == 0
