@@ -337,7 +337,11 @@ def _ranked(phrases: DataFrame, sizes: DataFrame, share: int, top: int) -> DataF
     inside = phrases.where(f"size = {DEPTH}").select("lang", F.col("n").alias("longer"), F.explode(F.array(joined(1, 2), joined(2, 2))).alias("phrase"))
     inside = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     free = scored.join(inside, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * longer < {share} * a")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = free.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    by = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # the first of each of many shares of a language, then the first of these
+    share_of = F.pmod(F.xxhash64("phrase"), F.lit(int(phrases.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    part = free.withColumn("part", share_of)
+    part = part.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*by))).where(F.col("rank") <= top)
+    best = part.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by))).where(F.col("rank") <= top)
     best = best.join(sizes, "lang")
     return best.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
