@@ -8,8 +8,10 @@ where the lost one stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from threading import Event
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..functions.columns import double
 from ..operators.inference import looks_from_counts
@@ -19,7 +21,7 @@ from ..sources.activity import arms, readings, shape_events
 from ..sources.files import inline, read_parquet
 
 FILES_PER_BATCH = 1_000
-_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+_LAST_EVENT = 120.0  # seconds that the account of an ended stream may take to arrive
 
 
 def event_stream(spark: SparkSession, folder: str, late: str | None = None) -> DataFrame:
@@ -164,6 +166,28 @@ def upkeep(stream: DataFrame, base: str, by: Sequence[str], sums: Mapping[str, C
     return spark.read.schema(T.StructType(widened)).parquet(f"{base}/table")
 
 
+class _Dropped(StreamingQueryListener):
+    """Rows that one query drops behind its watermark, added up as its batches end."""
+
+    def __init__(self, name: str):
+        self.name, self.run, self.rows, self.ended = name, None, 0, Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name:
+            self.rows += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.ended.set()
+
+
 def drain(stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
     """Run an append-only stream over what is there into Parquet; return the rows written.
 
@@ -172,23 +196,26 @@ def drain(stream: DataFrame, name: str, whole: bool = False) -> DataFrame:
     """
     spark = stream.sparkSession
     base = shared_dir(spark, name)
-    told = spark.conf.get(_PROGRESS)
-    spark.conf.set(_PROGRESS, "1000000")  # the progress of every batch is looked at
+    dropped = _Dropped(base.rpartition("/")[2])
+    if whole:
+        spark.streams.addListener(dropped)
     try:
         run = (
             stream.writeStream.outputMode("append")
+            .queryName(dropped.name)
             .format("parquet")
             .option("path", f"{base}/rows")
             .option("checkpointLocation", f"{base}/state")
             .trigger(availableNow=True)
             .start()
         )
+        run.awaitTermination()
+        drop_at_exit(spark, base)
+        if whole and not dropped.ended.wait(_LAST_EVENT):
+            raise TimeoutError("Spark did not tell the end of a stream")
     finally:
-        spark.conf.set(_PROGRESS, told)
-    run.awaitTermination()
-    drop_at_exit(spark, base)
-    if whole:
-        late = sum(op["numRowsDroppedByWatermark"] for p in run.recentProgress for op in p["stateOperators"])
-        if late:
-            raise ValueError(f"{late} rows or partial sums came behind the watermark; files must be in time order within the delay")
+        if whole:
+            spark.streams.removeListener(dropped)
+    if dropped.rows:
+        raise ValueError(f"{dropped.rows} rows or partial sums came behind the watermark; files must be in time order within the delay")
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
