@@ -128,8 +128,15 @@ class _Queries:
         both = np.unique(np.concatenate([flat, owner.astype(np.uint64)[:, None]], axis=1), axis=0)
         new = np.ones(len(both), bool)
         new[1:] = (both[1:, :-1] != both[:-1, :-1]).any(axis=1)
-        self.phrases, self.items = np.ascontiguousarray(both[new, :-1]), both[:, -1].astype(np.int64)
-        self.starts = np.append(np.flatnonzero(new), len(both))
+        self.items, self.starts = both[:, -1].astype(np.int64), np.append(np.flatnonzero(new), len(both))
+        # few words make many phrases
+        self.words, place = np.unique(both[new, :-1], return_inverse=True)
+        self.phrases = place.reshape(-1, both.shape[1] - 1)
+
+    def symbols(self, vocabulary: np.ndarray) -> np.ndarray:
+        """The phrases by the numbers of their words in a shard, from 1; 0 stands for a word that it does not have."""
+        at = np.minimum(np.searchsorted(vocabulary, self.words), len(vocabulary) - 1)
+        return np.where(vocabulary[at] == self.words, at + 1, 0)[self.phrases]
 
 
 def _queries(block: pd.DataFrame, window: int) -> tuple[list[_Queries], list[str]]:
@@ -158,15 +165,15 @@ def _hits(row, queries: list[_Queries]) -> tuple[np.ndarray, np.ndarray] | None:
     index, edges, pairs = None, None, []
     heads = np.cumsum([0, *(s + 1 for s in row.size)])[:-1]
     for asked in queries:
-        at = np.minimum(np.searchsorted(vocabulary, asked.phrases), len(vocabulary) - 1)
-        known = np.flatnonzero((vocabulary[at] == asked.phrases).all(axis=1))
+        symbols = asked.symbols(vocabulary)
+        known = np.flatnonzero((symbols > 0).all(axis=1))
         if not len(known):
             continue
         if index is None:
             counts, marks = np.frombuffer(row.counts, "<i4").astype(np.int64), np.frombuffer(row.marks, "<u8")
             index = FmIndex(np.frombuffer(row.levels, "<u8").reshape(-1, len(marks)), counts, marks, np.frombuffer(row.kept, "<i4"))
             edges = np.zeros(index.n + 1, np.int64)
-        first, end = index.search(at[known] + 1)
+        first, end = index.search(symbols[known])
         size = end - first
         known, first, size = known[size > 0], first[size > 0], size[size > 0]
         length, todo = asked.phrases.shape[1], np.cumsum(size)
