@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallywork.operators.tables import spread_join
 
 from .components import components
+from .merges import trim
 from .store import Keep, scratch, written
 from .words import mix, shingle_set, words_of
 
@@ -36,8 +37,8 @@ PERCENT = 80
 HOT = 1 << 17  # tokens known to every task, 1 MB; a token is one only if it makes up that part of all tokens
 MIN_HOT = 16
 RARE = 16  # sets; tokens of more are indexed in pairs
-RANGE_TOKENS = 2_500_000  # postings that one range should hold
-BATCH_TOKENS = 1_000_000  # tokens packed at a time
+RANGE_TOKENS = 1_500_000  # postings that one range should hold
+BATCH_TOKENS = 600_000  # tokens packed at a time
 STAR_ROUNDS = 1
 BLOCK = 512  # sets compared with as many others at a time
 COLUMNS = 4096  # tokens looked at together when blocks are compared
@@ -95,6 +96,8 @@ def _survey(texts: DataFrame, n: int) -> DataFrame:
                     "id": None, "size": None, "key": None,
                     "token": tokens[common].view(np.int64), "sets": many[common].astype(np.int64),
                 })
+            del ids, sets, keys, once
+        trim()
 
     return texts.mapInPandas(run, "id string, size bigint, key binary, token bigint, sets bigint")
 
@@ -140,8 +143,11 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
             if known.any():
                 deal = _deal(keys)
                 rows += blocks_of(ranges + deal[owner[known]] % ranges, owner[known], tokens[known], keys, sizes)
+            del sets, names, once, tokens, owner, place, known, rest
             for i in range(0, len(rows), 1024):
                 yield pd.DataFrame(rows[i : i + 1024], columns=["range", "keys", "sizes", "tokens"])
+            del rows
+        trim()
 
     return texts.mapInPandas(run, "range bigint, keys binary, sizes binary, tokens binary")
 
@@ -194,6 +200,8 @@ def _shared(postings: DataFrame, bits: int) -> DataFrame:
             counts = np.stack([both[who, 0], np.diff(starts, append=b - a)], axis=1).astype("<u4")
             told = keys[who].tobytes(), counts.tobytes(), tokens[a:b].astype("<u8").tobytes(), many[a:b].tobytes()
             rows.append((int(bundle[a]), *told))
+        del tokens, owner, many, bundle, order, keys, both
+        trim()
         return pd.DataFrame(rows, columns=["bundle", "keys", "sizes", "tokens", "sets"])
 
     return postings.groupBy("range").applyInPandas(count, "bundle bigint, keys binary, sizes binary, tokens binary, sets binary")
@@ -217,6 +225,8 @@ def _alive(answers: DataFrame, percent: int) -> DataFrame:
         tokens, sets = tokens[order], sets[order]
         who = np.flatnonzero(alive)
         ends = np.cumsum(shared[who])
+        del group, owner, wanted, order
+        trim()
         return pd.DataFrame({
             "key": [keys[first[w]].tobytes() for w in who],
             "size": size[who],

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 from types import ModuleType
 
+import pyarrow as pa
+
 
 class Memo(dict):
     """A bounded cache that computes what is missing.
@@ -41,6 +44,15 @@ def once_per_worker(key: tuple, make: Callable):
     return held[key]
 
 
+def trim() -> None:
+    """Give memory that is free back to the system: Spark keeps a worker for other tasks, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 GONE, UNKNOWN = 0xFFFF, 0xFFFE  # numbers no vocabulary entry has
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import content_order
 from .batch_bpe import BatchBpe
 from .bpe import WordBpe, read_vocabulary
-from .merges import once_per_worker
+from .merges import once_per_worker, trim
 from .store import written
 
 WINDOW = 2048
@@ -53,7 +53,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                     "doc_id": batch["doc_id"], "doc_tokens": [len(x) // 2 for x in ids], "ids": ids, "term": None, "docs": None,
                 })
         finally:
-            bpe.release()  # Spark keeps the worker for other tasks
+            bpe.release()
+            trim()
         terms = np.flatnonzero(counts)
         yield pd.DataFrame({"doc_id": None, "doc_tokens": None, "ids": None, "term": terms, "docs": counts[terms]})
 
@@ -265,6 +266,8 @@ def pack(
             (ids[t], start, length, len(texts[t]), (shard << 32) + seq, offset, texts[t][start : start + length].astype("<u4").tobytes())
             for t, start, length, seq, offset in fill(texts, Index(texts, idf, mean), window)
         ]
+        del texts, group
+        trim()
         return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     texts = encoded.select("doc_id", "ids", F.xxhash64("doc_id", "ids").alias("salt"), F.monotonically_increasing_id().alias("row"))

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallywork.session import drop_at_exit, shared_dir
 
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -29,8 +31,25 @@ def _tidy_shuffles(spark: SparkSession):
         spark.conf.set(_CLEANUP, before)
 
 
+def batches_of(spark: SparkSession, rows: int) -> None:
+    """From now on at most so many rows of this session go between Spark and Python at a time."""
+    now = int(spark.conf.get(_BATCH))
+    spark.conf.set(_BATCH, str(min(now, rows) if now > 0 else rows))
+
+
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Fewer rows at a time between Spark and Python: texts are long, and both sides hold a batch several times."""
+    before = spark.conf.get(_BATCH)
+    batches_of(spark, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def _store(df: DataFrame, path: str) -> DataFrame:
-    with _tidy_shuffles(df.sparkSession):
+    with _tidy_shuffles(df.sparkSession), _small_batches(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

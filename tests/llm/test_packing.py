@@ -163,7 +163,7 @@ def test_registered_queries():
     from __spark_entry__ import oracle_sql, queries as registered
 
     names = list(registered())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(oracle_sql()) <= set(names)
 
