@@ -8,9 +8,13 @@ within a group; a group with c of them counts for c - 1 towards the prefix, whic
 
 1. One pass takes each text's set size and fingerprint; equal sets are one set from then on. Tokens that are
    so common that their postings would crowd one task are found here (at most HOT of them).
-2. Postings go to hash ranges as packed blocks, one per range and batch. A range counts each token's sets and
-   answers with the tokens that several sets share. Sets with too few shared tokens can have no partner.
-3. Prefix signatures of the remaining sets form buckets. In a bucket, members are verified against its leader,
+2. A second pass sends the tokens of each set that come first by hash, some 3 in 10, with 12 bytes each whatever
+   the number of hash ranges. Similar sets share a known number of them; a set that shares fewer with all others
+   together has no partner and is done.
+3. All postings of the other sets go to hash ranges as packed blocks, one per range and batch.
+   A range counts each token's sets and answers with the tokens that several sets share. Sets with too few shared
+   tokens can have no partner.
+4. Prefix signatures of the remaining sets form buckets. In a bucket, members are verified against its leader,
    and verified links are contracted to components. Buckets that still hold several components form clusters,
    in which the sets outside the largest component are compared with all others, block by block. Nothing is
    left out: every candidate pair is verified or lies within one component already.
@@ -19,7 +23,7 @@ within a group; a group with c of them counts for c - 1 towards the prefix, whic
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,6 +47,8 @@ STAR_ROUNDS = 1
 BLOCK = 512  # sets compared with as many others at a time
 COLUMNS = 4096  # tokens looked at together when blocks are compared
 _KEY = 12  # bytes of a set's fingerprint
+_TAG = 6  # of them in the first tokens' postings; sets that agree in these go on unseen
+_MARKS = 26  # bits; a bitmap of 8 MB at most tells which texts go on, and a few more when it is crowded
 _LOW = np.uint64((1 << 48) - 1)
 _MOST = 65535
 _BITS = 30  # of a range's number
@@ -58,6 +64,24 @@ def slack(n, percent: int = PERCENT):
     return n - (-(-n * percent // 100))
 
 
+def _reach(n, percent: int = PERCENT):
+    return np.minimum(n - slack(n, percent), slack(n, percent) // 2 + 8)
+
+
+def firsts(n, percent: int = PERCENT):
+    """How many tokens of a set of n, first by hash, are looked at before all others."""
+    return slack(n, percent) + _reach(n, percent)
+
+
+def needed(n, percent: int = PERCENT):
+    """How many of its first tokens a set of n shares at least with the first ones of any similar set.
+
+    At most slack(n) tokens of a set come before its k-th common one and are not common, so the k-th common token
+    is among the first slack(n) + k, in either set. A similar set has n - slack(n) tokens or more.
+    """
+    return _reach(n - slack(n, percent), percent)
+
+
 def similar(common: int, a: int, b: int, percent: int = PERCENT) -> bool:
     return 100 * common >= percent * (a + b - common)
 
@@ -81,29 +105,154 @@ def _sets(batches: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[list, list[
 
 
 def _survey(texts: DataFrame, n: int) -> DataFrame:
-    """Rows (id, size, key) of all texts, and (token, sets) of tokens that are common within a batch."""
+    """Rows (id, mark, size, key) of all texts, and (token, sets) of tokens that are common within a batch."""
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": list(zip(batch["id"], batch["mark"])), "text": batch["text"]})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets, keys in _sets(batches, n):
+        for names, sets, keys in _sets(named(batches), n):
+            ids, marks = zip(*names)
             yield pd.DataFrame({
-                "id": ids, "size": [len(s) for s in sets], "key": keys, "token": None, "sets": None,
+                "id": ids, "mark": marks, "size": [len(s) for s in sets], "key": keys, "token": None, "sets": None,
             })
             once = dict(zip(keys, sets))
             if once:
                 tokens, many = np.unique(np.concatenate(list(once.values())), return_counts=True)
                 common = many >= max(2, len(tokens) // HOT)
                 yield pd.DataFrame({
-                    "id": None, "size": None, "key": None,
+                    "id": None, "mark": None, "size": None, "key": None,
                     "token": tokens[common].view(np.int64), "sets": many[common].astype(np.int64),
                 })
-            del ids, sets, keys, once
+            del names, ids, marks, sets, keys, once
+        trim()
+
+    return texts.mapInPandas(run, "id string, mark bigint, size bigint, key binary, token bigint, sets bigint")
+
+
+def _is_in(hot: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    if not len(hot):
+        return np.zeros(len(tokens), bool)
+    at = np.searchsorted(hot, tokens)
+    return hot[np.minimum(at, len(hot) - 1)] == tokens
+
+
+def _packed(numbers: np.ndarray) -> np.ndarray:
+    """The last six bytes of each number, first to last."""
+    return np.ascontiguousarray(numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:])
+
+
+def _unpacked(parts: pd.Series) -> np.ndarray:
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, 2:] = raw
+    return wide.view(">u8").ravel().astype(np.int64)
+
+
+def _first_postings(texts: DataFrame, n: int, percent: int, bits: int, hot: np.ndarray) -> DataFrame:
+    """Blocks (range, tags, tokens): the first tokens of all sets, each with the tag of its set.
+
+    The order is by the whole hash and the range by its last bits, so ranges are even. Ranges from 2**bits on hold
+    the number of hot tokens among the first ones of a set, dealt by its tag.
+    """
+    ranges = 1 << bits
+
+    def blocks_of(place: np.ndarray, tags: np.ndarray, told: np.ndarray) -> Iterator[tuple]:
+        order = np.argsort(place, kind="stable")
+        place, tags, told = place[order], _packed(tags[order]), told[order]
+        edges = np.flatnonzero(np.diff(place, prepend=-1)).tolist() + [len(place)]
+        for a, b in zip(edges, edges[1:]):
+            yield int(place[a]), tags[a:b].tobytes(), told[a:b].tobytes()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, sets, names in _sets(batches, n):
+            once = {k: s[: firsts(len(s), percent)] for k, s in zip(names, sets) if len(s) >= 4}
+            if not once:
+                continue
+            tags = _unpacked(pd.Series([k[:_TAG] for k in once]))
+            many = np.array([len(s) for s in once.values()])
+            tokens, owner = np.concatenate(list(once.values())), np.repeat(np.arange(len(tags), dtype=np.int32), many)
+            del sets, names, once
+            known = _is_in(hot, tokens)
+            place, rest = (tokens & np.uint64(ranges - 1)).astype(np.int64)[~known], _packed(tokens[~known] >> np.uint64(bits))
+            rows = list(blocks_of(place, tags[owner[~known]], rest))
+            if known.any():
+                hits = np.bincount(owner[known], minlength=len(tags))
+                has = hits > 0
+                rows += blocks_of(ranges + tags[has] % ranges, tags[has], hits[has].astype("<u4"))
+            del tokens, owner, known, place, rest
+            for i in range(0, len(rows), 1024):
+                yield pd.DataFrame(rows[i : i + 1024], columns=["range", "tags", "tokens"])
+            del rows
         trim()
 
-    return texts.mapInPandas(run, "id string, size bigint, key binary, token bigint, sets bigint")
+    return texts.mapInPandas(run, "range bigint, tags binary, tokens binary")
+
+
+def _first_shared(postings: DataFrame, bits: int) -> DataFrame:
+    """Rows (tag, shared): how many of the first tokens in a range a set shares with another one."""
+    ranges = 1 << bits
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        tags = _unpacked(group["tags"])
+        if int(group["range"].iloc[0]) >= ranges:
+            hits = np.frombuffer(b"".join(group["tokens"]), "<u4").astype(np.int64)
+            tags, first = np.unique(tags, return_index=True)
+            return pd.DataFrame({"tag": tags, "shared": hits[first]})
+        tokens = _unpacked(group["tokens"])
+        del group
+        order = np.lexsort((tags, tokens))
+        tags, tokens = tags[order], tokens[order]
+        del order
+        # each set once, though several batches may hold it
+        keep = (np.diff(tokens, prepend=-1) != 0) | (np.diff(tags, prepend=-1) != 0)
+        tags, tokens = tags[keep], tokens[keep]
+        runs = np.diff(np.flatnonzero(np.diff(tokens, prepend=-1)), append=len(tokens))
+        tags, shared = np.unique(tags[np.repeat(runs > 1, runs)], return_counts=True)
+        del tokens, keep, runs
+        trim()
+        return pd.DataFrame({"tag": tags, "shared": shared})
 
+    return postings.groupBy("range").applyInPandas(count, "tag bigint, shared bigint")
 
-def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame:
-    """Blocks (range, keys, sizes, tokens): the sets with tokens in a range, and these tokens.
+
+def _promising(
+    texts: DataFrame, sets: DataFrame, n: int, percent: int, hot: np.ndarray, range_bits: Callable[[int], int], keep: Keep,
+) -> DataFrame:
+    """(mark, size) of the sets whose first tokens leave room for a similar set."""
+
+    def lacks(n: Column) -> Column:  # as slack()
+        return F.floor(n * (100 - percent) / 100)
+
+    def reach(n: Column) -> Column:  # as _reach()
+        return F.least(n - lacks(n), F.floor(lacks(n) / 2) + 8)
+
+    size = F.col("size")
+    tag = F.conv(F.hex(F.substring("key", 1, _TAG)), 16, 10).cast("bigint")
+    sized = sets.where("size >= 4").select("mark", "size", tag.alias("tag"), reach(size - lacks(size)).alias("need"))
+    bits = range_bits(sized.agg(F.sum(lacks(size) + reach(size))).first()[0] or 0)
+    counted = _first_shared(_first_postings(texts, n, percent, bits, hot), bits)
+    shared = keep(counted.groupBy("tag").agg(F.sum("shared").alias("shared")), "first-shared")
+    twins = sized.groupBy("tag").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    told = sized.join(shared, "tag", "left").join(twins, "tag", "left")
+    return keep(told.where("shared >= need or sets > 1").select("mark", "size"), "promising")
+
+
+def _marked(promising: DataFrame, many: int) -> np.ndarray:
+    """A bitmap of the marks in 64-bit words, of 16 to 32 bits for each as long as it stays within 2**_MARKS bits."""
+    bits = min(_MARKS, max(10, (16 * many).bit_length()))
+    at = promising.select(F.expr(f"mark & {(1 << bits) - 1}").alias("at"))
+    words = at.groupBy(F.expr("shiftright(at, 6)").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray, marked: np.ndarray) -> DataFrame:
+    """Blocks (range, keys, sizes, tokens): the sets with tokens in a range, and these tokens, of the marked texts.
 
     Ranges from 2**bits on hold the hot tokens of sets, dealt by the key of the set.
     """
@@ -125,18 +274,20 @@ def _postings(texts: DataFrame, n: int, bits: int, hot: np.ndarray) -> DataFrame
             who = mine[starts]
             yield block(int(place[a]), keys[who], sizes[who], np.diff(starts, append=b - a), tokens[a:b])
 
+    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at = batch["mark"].to_numpy(np.int64) & (64 * len(marked) - 1)
+            yield batch[marked[at >> 6] >> (at & 63) & 1 == 1]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, sets, names in _sets(batches, n):
+        for _, sets, names in _sets(chosen(batches), n):
             once = {k: s for k, s in zip(names, sets) if len(s) >= 4}  # smaller sets are similar to equal ones only
             if not once:
                 continue
             keys = np.frombuffer(b"".join(once), np.uint8).reshape(-1, _KEY)
             sizes = np.array([len(s) for s in once.values()], np.int64)
             tokens, owner = np.concatenate(list(once.values())), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-            known = np.zeros(len(tokens), bool)
-            if len(hot):
-                at = np.searchsorted(hot, tokens)
-                known = hot[np.minimum(at, len(hot) - 1)] == tokens
+            known = _is_in(hot, tokens)
             rest = ~known
             place = (tokens >> shift).astype(np.int32)
             rows = list(blocks_of(place[rest], owner[rest], tokens[rest], keys, sizes))
@@ -439,21 +590,27 @@ def _grouped(
 ) -> DataFrame:
     """One row per input row: (id, size, key, component, component_id); components are numbers of their own."""
     texts = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    texts = texts.withColumn("mark", F.xxhash64("text"))
     survey = written(_survey(texts, n), "survey")
     # ids travel as text, since pandas turns whole numbers with NULLs into floats
     kind = docs.schema[id_col].dataType
-    rows = survey.where("key is not null").select(F.col("id").cast(kind).alias("id"), "size", "key")
+    rows = survey.where("key is not null").select(F.col("id").cast(kind).alias("id"), "size", "key", "mark")
     with scratch(docs.sparkSession, "jaccard") as keep:
-        sets = rows.where("size > 0").groupBy("key", "size").agg(F.min("id").alias("least"))
+        sets = rows.where("size > 0").groupBy("key", "size").agg(F.min("id").alias("least"), F.min("mark").alias("mark"))
         sets = keep(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
         total = sets.agg(F.sum("size")).first()[0] or 0
         common = survey.where("token is not null").groupBy("token").agg(F.sum("sets").alias("sets"))
         # at most ``hot`` tokens can make up that part of all tokens each
         often = common.where(F.col("sets") >= max(MIN_HOT, total // hot + 1)).select("token")
         known = np.sort(np.array([r[0] for r in often.collect()], np.int64).view(np.uint64))
-        bits = min(_BITS, max(least_bits, (total // range_tokens).bit_length()))
 
-        alive = _alive(_shared(_postings(texts, n, bits, known), bits), percent)
+        def range_bits(tokens: int) -> int:
+            return min(_BITS, max(least_bits, (tokens // range_tokens).bit_length()))
+
+        promising = _promising(texts, sets, n, percent, known, range_bits, keep)
+        many, left = promising.agg(F.count(F.lit(1)), F.sum("size")).first()
+        bits = range_bits(left or 0)
+        alive = _alive(_shared(_postings(texts, n, bits, known, _marked(promising, many)), bits), percent)
         records = keep(alive.join(sets.select("key", "set"), "key").drop("key"), "records")
         buckets = keep(_buckets(records, percent, rare), "signatures")
         labels = _labels(buckets, records, percent, rounds, keep)
@@ -464,7 +621,7 @@ def _grouped(
         named = keep(named, "named")
         least = keep(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
         told = written(named.join(least, "component").select("key", "component", "component_id"), "components")
-    return rows.join(told, "key", "left")
+    return rows.drop("mark").join(told, "key", "left")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -141,3 +141,83 @@ def test_no_empty_batch_of_sets(monkeypatch):
     made = list(jaccard._sets(iter([texts]), 5))
     assert [ids for ids, _, _ in made] == [["1"], ["2", "3"]] and [len(s) for _, s, _ in made] == [1, 2]
     assert list(jaccard._sets(iter([]), 5)) == []
+
+
+def _sent(spark, monkeypatch, rows, **options):
+    """Bytes of the blocks that go to hash ranges, and the result."""
+    sent = []
+
+    def weighed(inner):
+        def run(postings, *args):
+            held = [c for c, kind in postings.dtypes if kind == "binary"]
+            sent.append(sum(len(v) for row in postings.select(*held).collect() for v in row))
+            return inner(postings, *args)
+
+        return run
+
+    for name in ("_first_shared", "_shared"):
+        if hasattr(jaccard, name):
+            monkeypatch.setattr(jaccard, name, weighed(getattr(jaccard, name)))
+    got = told(jaccard.groups(table(spark, rows), **options))
+    return sum(sent), got
+
+
+def test_postings_do_not_grow_with_the_ranges(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, 200, 10**6)) for _ in range(60)]
+    texts += [texts[0] + " x", texts[1], "y " + texts[2]]
+    rows = list(enumerate(texts))
+    want = sorted(brute(rows), key=str)
+    tokens = sum(n for _, n, _ in want)
+    for bits in (4, 12):
+        size, got = _sent(spark, monkeypatch, rows, least_bits=bits)
+        monkeypatch.undo()
+        assert got == want
+        assert size < 8 * tokens
+
+
+def test_a_similar_set_shares_enough_first_tokens():
+    rng = random.Random(6)
+    seen = 0
+    for _ in range(2000):
+        both, x_only, y_only = rng.randrange(3, 400), rng.randrange(0, 100), rng.randrange(0, 100)
+        if not jaccard.similar(both, both + x_only, both + y_only):
+            continue
+        seen += 1
+        # what is not common comes first, or anywhere
+        least = rng.choice([1, 0])
+        order = {t: (least * (t < both), rng.random()) for t in range(both + x_only + y_only)}
+        x = sorted([*range(both), *range(both, both + x_only)], key=order.get)
+        y = sorted([*range(both), *range(both + x_only, both + x_only + y_only)], key=order.get)
+        met = len(set(x[: jaccard.firsts(len(x))]) & set(y[: jaccard.firsts(len(y))]))
+        assert met >= jaccard.needed(len(x)) and met >= jaccard.needed(len(y))
+    assert seen > 300
+
+
+@pytest.mark.parametrize("sizes", [(120, 96), (400, 330), (60, 50)])
+def test_a_shorter_partner_is_found(spark, sizes):
+    # a set and a part of it, whose first tokens are fewer; nothing else is shared
+    rows = []
+    for k in range(12):
+        long = words(random.Random(k), sizes[0] + 4, 10**7)
+        rows += [(2 * k, " ".join(long)), (2 * k + 1, " ".join(long[: sizes[1] + 4]))]
+    want = sorted(brute(rows), key=str)
+    assert {c for _, _, c in want} == set(range(0, 24, 2))
+    assert told(jaccard.groups(table(spark, rows))) == want
+
+
+def test_sets_of_one_tag_go_on_unseen(spark):
+    sets = [(b"same--one---", 50, 1), (b"same--two---", 90, 2), (b"other-three-", 50, 3)]
+    sets = spark.createDataFrame([(bytearray(k), size, mark) for k, size, mark in sets], "key binary, size bigint, mark bigint")
+    texts = spark.createDataFrame([], "id string, text string, mark bigint")
+    with scratch(spark, "tags") as keep:
+        got = jaccard._promising(texts, sets, 5, 80, np.zeros(0, np.uint64), lambda tokens: 4, keep).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 50), (2, 90)]
+
+
+def test_the_bitmap_holds_every_mark(spark):
+    marks = [0, 63, 64, -1, -(1 << 63), (1 << 63) - 1, 12345678901]
+    bits = jaccard._marked(spark.createDataFrame([(m, 5) for m in marks], "mark bigint, size bigint"), len(marks))
+    at = np.array(marks) & (64 * len(bits) - 1)
+    assert ((bits[at >> 6] >> (at & 63)) & 1).all()
+    assert sum(int(w).bit_count() for w in bits.view(np.uint64)) == len(set(at.tolist()))
